@@ -23,6 +23,7 @@ def surrogate_key(*parts: Column | str, sep: str = "-", skip_nulls: bool = False
 
 
 def hashed_uniform(*parts: Column | str, seed: int = 0) -> Column:
-    """A number in [0, 1) that depends on the key and a seed only, not on row order."""
-    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-    return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    """A number in [0, 1) that depends on the key and a seed only, so reruns and row order do not matter."""
+    cols = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    digest = F.md5(F.concat_ws("-", *cols, F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))

@@ -17,9 +17,15 @@ def norm(a: Column) -> Column:
 
 
 def normalised(a: Column) -> Column:
-    """The vector scaled to length one; a zero vector stays zero."""
-    n = norm(a)
-    return F.transform(a, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
+    """The vector scaled to length one; a zero vector stays zero.
+
+    The norm is bound once as a lambda variable: an expression inside ``transform`` would be evaluated per element.
+    """
+    scaled = F.transform(
+        F.array(F.struct(a.alias("v"), norm(a).alias("n"))),
+        lambda s: F.transform(s["v"], lambda x: F.when(s["n"] > 0, x.cast("double") / s["n"]).otherwise(F.lit(0.0))),
+    )
+    return scaled[0]
 
 
 def cosine(a: Column, b: Column) -> Column:
