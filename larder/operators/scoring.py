@@ -48,35 +48,32 @@ def aggregate_views(df: DataFrame, keys: Sequence[str], views: Mapping[str, Colu
     return df.groupBy(*keys).agg(*[e.alias(n) for n, e in views.items()])
 
 
-def _best_window(short: str, long: str) -> float:
-    """Largest similarity (0..100) of the shorter text with a window of the longer one."""
+def _common(a: str, b: str) -> int:
+    """Length of the longest common subsequence, one machine word operation per character of ``b``."""
+    where: dict[str, int] = {}
+    for i, c in enumerate(a):
+        where[c] = where.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for c in b:
+        hit = row & where.get(c, 0)
+        row = (row + hit) | (row - hit)
+    return len(a) - (row & full).bit_count()
+
+
+def _partial(a: str, b: str) -> float:
+    """Best similarity (0..100) of the shorter text with any stretch of the longer one of at most its length."""
+    short, long = sorted((a, b), key=len)
     m = len(short)
     if m == 0:
-        return 0.0
-    # Sellers' algorithm: cheapest edit distance of ``short`` to any substring.
-    prev = np.zeros(len(long) + 1, dtype="int32")
-    chars = np.array(list(long))
-    for i, c in enumerate(short, 1):
-        cur = np.empty_like(prev)
-        cur[0] = i
-        diag = prev[:-1] + (chars != c)
-        up = prev[1:] + 1
-        best = np.minimum(diag, up)
-        left = i
-        for j in range(len(best)):
-            left = min(left + 1, best[j])
-            cur[j + 1] = left
-        prev = cur
-    return 100.0 * (1 - min(int(prev.min()), m) / m)
+        return 100.0 if not long else 0.0
+    if short in long:
+        return 100.0
+    stretches = {long[max(i, 0) : i + m] for i in range(1 - m, len(long))}
+    return max(200.0 * _common(short, w) / (m + len(w)) for w in stretches)
 
 
 @F.pandas_udf(DoubleType())
 def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Best-window similarity of two texts; used on distinct tokens, not on rows."""
-    return pd.Series(
-        [
-            None if x is None or y is None else _best_window(*sorted((x, y), key=len))
-            for x, y in zip(a, b)
-        ],
-        dtype="float64",
-    )
+    """Best-stretch similarity of two short texts; meant for distinct tokens."""
+    return pd.Series([None if x is None or y is None else _partial(x, y) for x, y in zip(a, b)], dtype="float64")
