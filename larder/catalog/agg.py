@@ -138,12 +138,12 @@ def agg_12(t: Tables):
 
 @query(
     "agg_13",
-    """SELECT l_partkey, round(ceil(sum(l_quantity * 0.3)) * max(l_tax), 4) AS whole_cost,
-    round(sum(l_quantity * 0.3) * max(l_tax), 4) AS part_cost FROM lineitem WHERE l_quantity % 2 = 1
+    """SELECT l_partkey, round(ceil(sum(l_quantity * 0.25)) * max(l_tax), 4) AS whole_cost,
+    round(sum(l_quantity * 0.25) * max(l_tax), 4) AS part_cost FROM lineitem WHERE l_quantity % 2 = 1
     GROUP BY l_partkey""",
 )
 def agg_13(t: Tables):
-    q = F.col("l_quantity") * 0.3
+    q = F.col("l_quantity") * 0.25
     return A.agg(
         t.lineitem.where("l_quantity % 2 = 1"),
         ["l_partkey"],

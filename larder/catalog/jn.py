@@ -165,7 +165,7 @@ def jn_10(t: Tables):
       GROUP BY 1, 2),
     o AS (SELECT DISTINCT l_partkey, CAST(o_orderdate AS DATE) AS order_date FROM lineitem JOIN orders
       ON l_orderkey = o_orderkey)
-    SELECT o.l_partkey, order_date, round(price, 6) AS price FROM o ASOF LEFT JOIN p
+    SELECT o.l_partkey, order_date, round(price, 9) AS price FROM o ASOF LEFT JOIN p
     ON o.l_partkey = p.l_partkey AND o.order_date >= p.d""",
 )
 def jn_11(t: Tables):
@@ -178,7 +178,7 @@ def jn_11(t: Tables):
         .distinct()
     )
     hit = J.as_of(wanted, prices, ["l_partkey"], "order_date", "d", "m", chunk="year")
-    return hit.select("l_partkey", "order_date", F.round("m.price", 6).alias("price"))
+    return hit.select("l_partkey", "order_date", F.round("m.price", 9).alias("price"))
 
 
 @query(

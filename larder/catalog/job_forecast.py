@@ -292,7 +292,7 @@ _SHARES = """q AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mont
     "job_48",
     f"""WITH {_SHARES}, s AS (SELECT *, qty / sum(qty) OVER (PARTITION BY month) AS share, sum(qty) OVER (PARTITION BY month)
       AS total FROM q), e AS (SELECT month, p_brand, share, total, exp(ln(share) * 0.9) AS p FROM s)
-    SELECT month, p_brand, round(share, 8) AS share, round(p / sum(p) OVER (PARTITION BY month) * total, 4) AS forecast FROM e""",
+    SELECT month, p_brand, round(share, 11) AS share, round(p / sum(p) OVER (PARTITION BY month) * total, 4) AS forecast FROM e""",
 )
 def job_48(t: Tables):
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
@@ -303,7 +303,7 @@ def job_48(t: Tables):
     predicted = s.select("month", "p_brand", F.col("share").alias("known"), (F.col("log_share") * 0.9).alias("predicted_log"))
     totals = q.groupBy("month").agg(F.sum("qty").alias("total"))
     f = P.share_forecast(predicted, totals, ["month"])
-    return f.select("month", "p_brand", F.round("known", 8).alias("share"), F.round("quantity", 4).alias("forecast"))
+    return f.select("month", "p_brand", F.round("known", 11).alias("share"), F.round("quantity", 4).alias("forecast"))
 
 
 _PUBLISH = f"""{WEEKLY}, e AS (SELECT company, year, week, orders + 5 AS x FROM weekly WHERE week % 10 = 0)"""
