@@ -27,7 +27,8 @@ islands AS (SELECT user_id, state, min(valid_from) AS valid_from, max(valid_to)
 
 
 def islands(t: Tables):
-    return scd.merge_islands(states(t), ["user_id"], ["state"], ["event_id"], chunk="day")
+    ev = t.events.select("user_id", "event_id", "ts", F.col("event_type").alias("state"))
+    return scd.state_islands(ev, ["user_id"], "ts", "state", ["event_id"], chunk="day")
 
 
 @query(
@@ -114,6 +115,11 @@ def scd_03(t: Tables):
 
 @query("scd_04", f"WITH {ISLANDS} SELECT * FROM islands")
 def scd_04(t: Tables):
+    return scd.merge_islands(states(t), ["user_id"], ["state"], ["event_id"], chunk="day")
+
+
+@query("scd_04_events", f"WITH {ISLANDS} SELECT * FROM islands")
+def scd_04_events(t: Tables):
     return islands(t)
 
 

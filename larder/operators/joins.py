@@ -195,15 +195,20 @@ def point_in_time(
 def trailing_days(targets: DataFrame, history: DataFrame, key: str, day: str, days: int) -> DataFrame:
     """Pair each target day of a key with that key's history days of the ``days`` before it.
 
-    Both frames hold one row per (key, day); each history day is repeated for
-    the days that it serves and joined on equality.  Days of the target's own
-    ISO week do not count as history.
+    Both frames hold one row per (key, day).  Each history day is repeated for the ISO weeks that it can serve and
+    joined on the week, so a (key, week) meets at most seven days with seven.  Days of the target's own ISO week do not
+    count as history.
     """
-    served = history.withColumn("__hist_day", F.col(day)).withColumn(
-        day, F.explode(F.sequence(F.date_add(day, 1), F.date_add(day, days)))
+    weeks = days // 7 + 1
+    served = history.withColumnRenamed(day, "__hist_day").withColumn(
+        "__week",
+        F.explode(F.transform(F.sequence(F.lit(1), F.lit(weeks)), lambda i: F.date_add(F.trunc("__hist_day", "week"), (i * 7).cast("int")))),
     )
-    served = served.where(F.trunc(day, "week") != F.trunc("__hist_day", "week"))
-    return targets.join(served, [key, day], "left")
+    t = targets.withColumn("__week", F.trunc(day, "week")).alias("t")
+    cond = (F.col(f"t.{key}") == F.col(f"h.{key}")) & (F.col("t.__week") == F.col("h.__week"))
+    cond = cond & (F.datediff(F.col(f"t.{day}"), F.col("h.__hist_day")) <= days)
+    cols = [F.col(f"h.{c}") for c in served.columns if c not in (key, "__week")]
+    return t.join(served.alias("h"), cond, "left").select(*[F.col(f"t.{c}") for c in targets.columns], *cols)
 
 
 def trailing_periods(targets: DataFrame, history: DataFrame, keys: Sequence[str], seq: str, n: int) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.dates import future
-from larder.operators.chunked import Chunk, fill_down, neighbour, running
+from larder.operators.chunked import Chunk, chunk_of, fill_down, neighbour, running
 
 
 def with_valid_to(
@@ -81,6 +81,46 @@ def merge_islands(
     )
 
 
+def state_islands(
+    df: DataFrame, key: Sequence[str], ts: str, state: str, tie: Sequence[str] = (), chunk: Chunk = "month"
+) -> DataFrame:
+    """Events with a state to validity rows: one row per run of equal states, ended by the next run.
+
+    Equal to :func:`with_valid_to` followed by :func:`merge_islands`, in one pass.  What a chunk must know of its
+    neighbours follows from the first and last position of each state per chunk: the first change inside a chunk is
+    where the second of its states first appears.
+    """
+    order = F.struct(ts, *tie)
+    base = df.select(*key, ts, *tie, F.col(state).alias("__s"), chunk_of(ts, chunk).alias("__c"))
+    per_state = base.groupBy(*key, "__c", "__s").agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
+    edges = per_state.groupBy(*key, "__c").agg(
+        F.min_by(F.struct("__s"), "__lo").alias("first"),
+        F.max_by(F.struct("__s"), "__hi").alias("last"),
+        F.array_sort(F.collect_list(F.col(f"__lo.{ts}"))).alias("__starts"),
+    )
+    by = Window.partitionBy(*key).orderBy("__c")
+    edges = edges.withColumn("__before", F.lag("last").over(by))
+    opens = F.col("__before").isNull() | ~F.col("first.__s").eqNullSafe(F.col("__before.__s"))
+    start = F.when(opens, F.col("__starts")[0]).otherwise(F.get("__starts", F.lit(1)))
+    edges = edges.withColumn("__start", start)
+    later = F.first("__start", ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing))
+    edges = edges.select(*key, "__c", "__before", later.alias("__after"))
+    lead_rows = edges.where("__before is not null").select(*key, "__c", F.lit(-1).alias("__e"), F.col("__before").alias("__v"))
+    tail_rows = edges.where("__after is not null").select(
+        *key, "__c", F.lit(1).alias("__e"), F.col("__after").cast(df.schema[ts].dataType).alias(ts)
+    )
+    rows = base.withColumns({"__e": F.lit(0), "__v": F.struct("__s")}).drop("__s")
+    both = rows.unionByName(lead_rows, allowMissingColumns=True).unionByName(tail_rows, allowMissingColumns=True)
+    w = Window.partitionBy(*key, "__c").orderBy("__e", ts, *tie)
+    prev = F.lag("__v").over(w)
+    fresh = prev.isNull() | ~F.col("__v.__s").eqNullSafe(prev["__s"])
+    # A tail row stands for the next start in a later chunk.
+    marked = both.withColumn("__new", (F.col("__e") == 1) | ((F.col("__e") == 0) & fresh)).where("__new")
+    end = F.coalesce(F.lead(ts).over(w), future().cast(df.schema[ts].dataType))
+    out = marked.withColumn("valid_to", end).where("__e = 0")
+    return out.select(*key, F.col("__v.__s").alias(state), F.col(ts).alias("valid_from"), "valid_to")
+
+
 def merge_contiguous(df: DataFrame, key: Sequence[str], state: Sequence[str], chunk: Chunk = "month") -> DataFrame:
     """Merge rows of equal state (part of the key) that touch: the next starts where the last ended."""
     gap = F.col("__prev_to") != F.col("valid_from")

@@ -78,7 +78,10 @@ def greedy_basket(
     smallest id.  ``allowed`` may
     restrict the menu per customer (a predicate on the menu entry ``i`` built by the caller as a filtered array).
     """
-    j = customers.join(menus, list(on))
+    # The fold is bound by computation, not by bytes: spread the customers evenly over all cores before it.
+    spark = customers.sparkSession
+    spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    j = customers.repartition(spread).join(menus, list(on))
     menu = allowed if allowed is not None else F.col("menu")
     k = k if isinstance(k, Column) else F.lit(k)
     start = F.struct(

@@ -129,3 +129,21 @@ def test_overlaps_and_previous_version(spark, rows):
     assert rows(scd.overlaps(df, ["k"]), "s") == [("b",), ("c",)]
     chain = frame(spark, [(1, "a", D(1), D(2)), (1, "b", D(2), D(3)), (1, "c", D(4), D(5))], f"k int, s string, {t}")
     assert rows(J.previous_version(chain, ["k"], ["s"]), "s", "previous_s") == [("a", None), ("b", "a"), ("c", None)]
+
+
+def test_state_islands_equal_the_two_step_form(spark):
+    import random
+
+    rnd = random.Random(9)
+    data = [
+        ("hot" if rnd.random() < 0.7 else rnd.choice(["a", None]), D(1) + dt.timedelta(hours=rnd.randrange(900)), i, rnd.choice(["x", "x", "y", None]))
+        for i in range(400)
+    ]
+    df = frame(spark, data, "k string, ts timestamp_ntz, id int, state string")
+    two = df.withColumnRenamed("ts", "valid_from")
+    two = scd.merge_islands(scd.with_valid_to(two, ["k"], "valid_from", ["id"], "day"), ["k"], ["state"], ["id"], "day")
+    cols = ("k", "state", "valid_from", "valid_to")
+    for chunk in ("day", "month"):
+        one = scd.state_islands(df, ["k"], "ts", "state", ["id"], chunk)
+        key = lambda r: str(r)
+        assert sorted(map(tuple, one.select(*cols).collect()), key=key) == sorted(map(tuple, two.select(*cols).collect()), key=key)
