@@ -165,7 +165,7 @@ def scd_05(t: Tables):
 )
 def scd_06(t: Tables):
     ev = t.events.select("user_id", "event_id", "ts", "event_type")
-    return scd.changes_only(ev, ["user_id"], "event_type", "ts", ["event_id"], chunk="day")
+    return scd.changes_only(ev, ["user_id"], "event_type", "ts", ["event_id"], chunk="auto")
 
 
 @query(
@@ -209,7 +209,7 @@ def scd_09(t: Tables):
         (F.col("event_id") % 3 == 0).alias("weak"),
     )
     out = scd.resolve_weak_source(
-        ev, ["user_id"], ["ts", "event_id"], "product", "variation", F.col("weak"), chunk="day"
+        ev, ["user_id"], ["ts", "event_id"], "product", "variation", F.col("weak"), chunk="auto"
     )
     return out.select("event_id", "resolved")
 

@@ -30,7 +30,7 @@ def win_01(t: Tables):
 )
 def win_02(t: Tables):
     ev = t.events.select("event_id", "user_id", F.date_trunc("hour", "ts").alias("hour"))
-    return W.version_rank(ev, ["user_id"], "hour", chunk="day").select("event_id", "version", "version_desc")
+    return W.version_rank(ev, ["user_id"], "hour", chunk="auto").select("event_id", "version", "version_desc")
 
 
 @query(
@@ -40,7 +40,7 @@ def win_02(t: Tables):
 )
 def win_03(t: Tables):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    return W.lag_cols(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_totalprice"], "year").select(
+    return W.lag_cols(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_totalprice"], "auto").select(
         "o_orderkey", "previous_o_totalprice"
     )
 
@@ -52,7 +52,7 @@ def win_03(t: Tables):
 )
 def win_04(t: Tables):
     ev = t.events.select("event_id", "user_id", "ts")
-    return W.lead_or(ev, ["user_id"], ["ts", "event_id"], "ts", future(), "day").select("event_id", "next_ts")
+    return W.lead_or(ev, ["user_id"], ["ts", "event_id"], "ts", future(), "auto").select("event_id", "next_ts")
 
 
 @query(
@@ -64,7 +64,7 @@ def win_04(t: Tables):
 def win_05(t: Tables):
     spent = F.when(F.col("event_type") == "purchase", F.col("value"))
     ev = t.events.select("event_id", "user_id", "ts", spent.alias("spent"))
-    return W.ffill(ev, ["user_id"], ["ts", "event_id"], "spent", "day").select("event_id", "spent_filled")
+    return W.ffill(ev, ["user_id"], ["ts", "event_id"], "spent", "auto").select("event_id", "spent_filled")
 
 
 @query(
@@ -75,7 +75,7 @@ def win_05(t: Tables):
 )
 def win_06(t: Tables):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    r = W.running_totals(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "year")
+    r = W.running_totals(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "auto")
     return r.select("o_orderkey", "running_count", F.round("running_sum", 2).alias("running_sum"))
 
 

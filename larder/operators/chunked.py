@@ -13,8 +13,12 @@ before (or after) every row of its chunk, so an ordinary window function sees
 it as the neighbouring row.  NULL keys work as in any window.
 
 ``chunk`` is a unit of time ("day", "week", "month", "year"), a number (width
-of a block of a numeric order column), or a Column.  It must be a
-non-decreasing function of the first order column.
+of a block of a numeric order column), a Column that does not decrease along
+the first order column, or "auto": keys are counted first, keys of at most
+``HOT_ROWS`` rows stay whole, and larger ones are cut into as many equal
+stretches of the order column as they hold that many rows.  Counting reads the
+keys once more, so "auto" suits a single step close to the source; a chain of
+steps takes a fixed unit, or cuts once with :func:`cut` and passes the column.
 """
 
 from __future__ import annotations
@@ -23,11 +27,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 Chunk = str | int | float | Column
 
 _CHUNK, _EDGE, _CARRY = "__chunk", "__edge", "__carry"
 
+# Rows of a key from which "auto" cuts it; the cut is decided by counts, so reruns agree.
+HOT_ROWS = 1_000_000
+
 
 def chunk_of(order: str | Column, chunk: Chunk) -> Column:
     """The chunk that a value of the order column falls into."""
@@ -40,6 +48,34 @@ def chunk_of(order: str | Column, chunk: Chunk) -> Column:
     return F.floor(col / F.lit(chunk))
 
 
+def _position(df: DataFrame, order: str) -> Column:
+    """The order column as a number that does not decrease along it."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, DateType):
+        return F.datediff(order, F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast(kind), F.col(order)).cast("double")
+    return F.col(order).cast("double")
+
+
+def cut(df: DataFrame, part: Sequence[str], order: str, chunk: Chunk) -> DataFrame:
+    """Add the chunk column.  A chain of chunked steps cuts once and passes the column on."""
+    if not (isinstance(chunk, str) and chunk == "auto"):
+        return df.withColumn(_CHUNK, chunk_of(order, chunk))
+    at = _position(df, order)
+    stats = df.groupBy(*[F.col(p).alias(f"__p{i}") for i, p in enumerate(part)]).agg(
+        F.count("*").alias("__n"), F.min(at).alias("__lo"), F.max(at).alias("__hi")
+    )
+    same = F.lit(True)
+    for i, p in enumerate(part):
+        same = same & F.col(p).eqNullSafe(F.col(f"__p{i}"))
+    # A table of N rows has at most N / HOT_ROWS such keys, which bounds the broadcast.
+    hot = F.broadcast(stats.where(F.col("__n") > HOT_ROWS))
+    share = (at - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + 1)
+    piece = F.when(F.col("__n").isNull(), 0).otherwise(F.floor(share * F.ceil(F.col("__n") / HOT_ROWS)))
+    return df.join(hot, same, "left").select(*df.columns, F.coalesce(piece, F.lit(0)).cast("long").alias(_CHUNK))
+
+
 def _key(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
@@ -73,7 +109,7 @@ def neighbour(
     ``order`` must name columns that order a group without ties.
     """
     values = F.struct(*[(F.col(e) if isinstance(e, str) else e).alias(n) for n, e in cols.items()])
-    base = df.withColumn(_CHUNK, chunk_of(order[0], chunk))
+    base = cut(df, part, order[0], chunk)
     pick = F.min_by if forward else F.max_by
     edges = base.groupBy(*part, _CHUNK).agg(pick(values, _key(order)).alias("__v"))
     w = Window.partitionBy(*part).orderBy(_CHUNK)
@@ -95,7 +131,7 @@ def running(
 ) -> DataFrame:
     """Add running sums and maxima from the start of the group to the current row."""
     sums, maxes = dict(sums or {}), dict(maxes or {})
-    base = df.withColumn(_CHUNK, chunk_of(order[0], chunk))
+    base = cut(df, part, order[0], chunk)
     aggs = [F.sum(e).alias(n) for n, e in sums.items()] + [F.max(e).alias(n) for n, e in maxes.items()]
     edges = base.groupBy(*part, _CHUNK).agg(*aggs)
     before = Window.partitionBy(*part).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -126,7 +162,7 @@ def fill_down(
     chunk: Chunk = "month",
 ) -> DataFrame:
     """Add the last non-NULL value of each expression up to and including the current row."""
-    base = df.withColumn(_CHUNK, chunk_of(order[0], chunk))
+    base = cut(df, part, order[0], chunk)
     edges = base.groupBy(*part, _CHUNK).agg(
         *[F.max_by(e, F.when(e.isNotNull(), _key(order))).alias(n) for n, e in cols.items()]
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.dates import future
-from larder.operators.chunked import Chunk, chunk_of, fill_down, neighbour, running
+from larder.operators.chunked import Chunk, cut, fill_down, neighbour, running
 
 
 def with_valid_to(
@@ -44,8 +44,9 @@ def join_scd2(key: str, tables: Mapping[str, DataFrame], chunk: Chunk = "month")
         points = points.unionByName(p, allowMissingColumns=True)
     structs = [f"__{n}" for n in tables]
     slots = points.groupBy(key, "valid_from").agg(*[F.max(s).alias(s) for s in structs])
-    timeline = with_valid_to(slots, [key], "valid_from", chunk=chunk)
-    filled = fill_down(timeline, [key], ["valid_from"], {f"{s}_f": F.col(s) for s in structs}, chunk)
+    slots = cut(slots, [key], "valid_from", chunk).withColumnRenamed("__chunk", "__cut")
+    timeline = with_valid_to(slots, [key], "valid_from", chunk=F.col("__cut"))
+    filled = fill_down(timeline, [key], ["valid_from"], {f"{s}_f": F.col(s) for s in structs}, F.col("__cut"))
     out = [key, "valid_from", "valid_to", (F.col("valid_to") == future()).alias("is_current")]
     for name, df in tables.items():
         held = F.col(f"__{name}_f")
@@ -60,9 +61,11 @@ def join_snapshots(t1: DataFrame, t2: DataFrame, key: str, col: str, chunk: Chun
 
 
 def _islands(df: DataFrame, key: Sequence[str], order: Sequence[str], starts: Column, look: dict, chunk: Chunk):
-    prev = neighbour(df, key, order, {**look, "__has_prev": F.lit(True)}, chunk)
+    cols, df = df.columns, cut(df, key, order[0], chunk).withColumnRenamed("__chunk", "__cut")
+    prev = neighbour(df, key, order, {**look, "__has_prev": F.lit(True)}, F.col("__cut"))
     flagged = prev.withColumn("__start", F.when(F.col("__has_prev").isNull() | starts, 1).otherwise(0))
-    return running(flagged, key, order, sums={"__island": F.col("__start").cast("long")}, chunk=chunk)
+    numbered = running(flagged, key, order, sums={"__island": F.col("__start").cast("long")}, chunk=F.col("__cut"))
+    return numbered.select(*cols, "__island")
 
 
 def merge_islands(
@@ -91,7 +94,7 @@ def state_islands(
     where the second of its states first appears.
     """
     order = F.struct(ts, *tie)
-    base = df.select(*key, ts, *tie, F.col(state).alias("__s"), chunk_of(ts, chunk).alias("__c"))
+    base = cut(df.select(*key, ts, *tie, F.col(state).alias("__s")), key, ts, chunk).withColumnRenamed("__chunk", "__c")
     per_state = base.groupBy(*key, "__c", "__s").agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
     edges = per_state.groupBy(*key, "__c").agg(
         F.min_by(F.struct("__s"), "__lo").alias("first"),
@@ -289,9 +292,10 @@ def overlaps(df: DataFrame, key: Sequence[str], tie: Sequence[str] = (), chunk:
     The latest end seen so far is carried along, so rows are never paired.
     """
     order = ["valid_from", *tie]
-    upto = running(df, key, order, maxes={"__max_to": F.col("valid_to")}, chunk=chunk)
-    prev = neighbour(upto, key, order, {"latest_end_before": "__max_to"}, chunk)
-    return prev.where(F.col("latest_end_before") > F.col("valid_from")).drop("__max_to")
+    rows = cut(df, key, "valid_from", chunk).withColumnRenamed("__chunk", "__cut")
+    upto = running(rows, key, order, maxes={"__max_to": F.col("valid_to")}, chunk=F.col("__cut"))
+    prev = neighbour(upto, key, order, {"latest_end_before": "__max_to"}, F.col("__cut"))
+    return prev.where(F.col("latest_end_before") > F.col("valid_from")).drop("__max_to", "__cut")
 
 
 def derive_seasons(starts: DataFrame, key: str, start: str) -> DataFrame:

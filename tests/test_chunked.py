@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 import statistics
 
@@ -12,6 +13,21 @@ from pyspark.sql import functions as F
 from larder.operators import chunked as C
 
 
+@pytest.fixture(autouse=True)
+def small_cut(monkeypatch):
+    monkeypatch.setattr(C, "HOT_ROWS", 50)
+
+
+def test_auto_cuts_only_large_keys(spark, history):
+    df = C.cut(history[1], ["k"], "ts", "auto")
+    n = {r.k: (r.chunks, r.n) for r in df.groupBy("k").agg(F.count_distinct("__chunk").alias("chunks"), F.count("*").alias("n")).collect()}
+    assert n["hot"][0] == math.ceil(n["hot"][1] / 50)
+    assert all(c == 1 for c, rows in n.values() if rows <= 50)
+    # Chunks follow the order column.
+    spans = sorted((r.c, r.lo, r.hi) for r in df.where("k = 'hot'").groupBy(F.col("__chunk").alias("c")).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).collect())
+    assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+
+
 @pytest.fixture(scope="module")
 def history(spark):
     rnd = random.Random(3)
@@ -31,7 +47,7 @@ def groups(data):
     return out
 
 
-@pytest.mark.parametrize("chunk", ["day", "month", "year"])
+@pytest.mark.parametrize("chunk", ["auto", "day", "month"])
 @pytest.mark.parametrize("forward", [False, True])
 def test_neighbour(history, chunk, forward):
     data, df = history
@@ -44,7 +60,7 @@ def test_neighbour(history, chunk, forward):
     assert {r.id: (r.n, r.nv) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("chunk", ["day", "month"])
+@pytest.mark.parametrize("chunk", ["auto", "month"])
 def test_running_and_fill(history, chunk):
     data, df = history
     got = C.running(df, ["k"], ["ts", "id"], {"n": F.lit(1).cast("long"), "s": F.col("v")}, {"m": F.col("v")}, chunk)
