@@ -362,7 +362,7 @@ def agg_26(t: Tables):
 @query(
     "agg_27",
     """WITH r AS (SELECT user_id, min(value) AS min_score, max(value) AS max_score FROM events GROUP BY user_id)
-    SELECT *, CAST(row_number() OVER (ORDER BY max_score, min_score, user_id) AS INTEGER) AS position FROM r""",
+    SELECT *, row_number() OVER (ORDER BY max_score, min_score, user_id) AS position FROM r""",
 )
 def agg_27(t: Tables):
     return A.minmax_rank(t.events, "user_id", "value")

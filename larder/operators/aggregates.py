@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.chunked import exact_median, with_totals
+from larder.operators.chunked import exact_median, row_numbers, with_totals
 
 
 def agg(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
@@ -248,11 +248,8 @@ def allocate(df: DataFrame, parent: Sequence[str], amount: str, weight: Column,
     return t.withColumn(out, F.col(amount) * share).drop("__w", "__total", "__n")
 
 
-def minmax_rank(df: DataFrame, item: str, score: str) -> DataFrame:
-    """Items ordered by their largest, then smallest score, then id.
-
-    Items are a small dimension (one row each after the aggregate), ranked in one ordered window.
-    """
+def minmax_rank(df: DataFrame, item: str, score: str, width: float = 1.0) -> DataFrame:
+    """Items ordered by their largest, then smallest score, then id; positions count over score chunks of ``width``."""
     per_item = df.groupBy(item).agg(F.min(score).alias("min_score"), F.max(score).alias("max_score"))
-    w = Window.partitionBy(F.lit(1)).orderBy("max_score", "min_score", item)
-    return per_item.withColumn("position", F.row_number().over(w))
+    order = ["max_score", "min_score", item]
+    return row_numbers(per_item, [], order, "position", chunk=width)

@@ -203,7 +203,8 @@ def exact_median(df: DataFrame, part: Sequence[str], col: str, out: str = "media
 
     Equal values are counted first; the counts go into equal-width bins between
     the group's minimum and maximum; only the bins that hold the two middle
-    positions are ranked row by row.
+    positions are ranked row by row.  Widths are equal on the asinh scale, so a
+    few huge values do not push all others into one bin.
     """
     counts = df.where(F.col(col).isNotNull()).groupBy(*part, F.col(col).cast("double").alias("__x")).agg(
         F.count("*").alias("__n")
@@ -212,7 +213,10 @@ def exact_median(df: DataFrame, part: Sequence[str], col: str, out: str = "media
         counts, part, __lo=F.min("__x"), __hi=F.max("__x"), __all=F.sum("__n")
     ).withColumn(
         _CHUNK,
-        F.when(F.col("__hi") > F.col("__lo"), F.floor((F.col("__x") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins))
+        F.when(
+            F.asinh("__hi") > F.asinh("__lo"),
+            F.floor((F.asinh("__x") - F.asinh("__lo")) / (F.asinh("__hi") - F.asinh("__lo")) * bins),
+        )
         .otherwise(F.lit(0))
         .cast("long"),
     )
