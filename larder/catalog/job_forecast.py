@@ -90,11 +90,13 @@ def split(t: Tables):
     "job_15",
     f"""WITH {SPLIT}, l AS (SELECT company, arg_max(orders, (year, week)) AS now FROM past GROUP BY 1),
     bt AS (SELECT company, max((year, week)) AS t FROM past WHERE week <> 53 GROUP BY 1),
-    b AS (SELECT bt.company, orders AS past_now FROM bt JOIN past p ON p.company = bt.company AND p.year + 1 = bt.t[1]
+    b AS (SELECT bt.company, orders AS past_now FROM bt LEFT JOIN past p ON p.company = bt.company AND p.year + 1 = bt.t[1]
       AND p.week = bt.t[2]),
     r4 AS (SELECT * FROM past QUALIFY row_number() OVER (PARTITION BY company ORDER BY year DESC, week DESC) <= 4),
-    r AS (SELECT r4.company, median(r4.orders / p.orders) AS ratio FROM r4 JOIN past p ON p.company = r4.company
-      AND p.year + 1 = r4.year AND p.week = r4.week GROUP BY 1),
+    r5 AS (SELECT r4.*, p.orders AS v FROM r4 LEFT JOIN past p ON p.company = r4.company AND p.year + 1 = r4.year AND p.week = r4.week),
+    r AS (SELECT company, median(orders / pv) AS ratio FROM (SELECT *, coalesce(last_value(v IGNORE NULLS) OVER (w ROWS BETWEEN
+      UNBOUNDED PRECEDING AND CURRENT ROW), first_value(v IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS pv
+      FROM r5 WINDOW w AS (PARTITION BY company ORDER BY year, week)) GROUP BY 1),
     j AS (SELECT f.*, p.orders AS v FROM future f LEFT JOIN past p ON p.company = f.company AND p.year + 1 = f.year
       AND p.week = f.week),
     g AS (SELECT *, coalesce(last_value(v IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
