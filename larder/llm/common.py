@@ -6,12 +6,12 @@ whatever their names, cannot clash.  NULL ids are passed through; a NULL text co
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
@@ -44,12 +44,15 @@ def per_document(
     fields: list[StructField],
     id_col: str = "doc_id",
     text_col: str = "text",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Map whole texts, one task's share at a time, without a shuffle.
 
-    ``make()`` runs once per task and returns a function from a list of texts to one list per output field.
+    ``make()`` runs once per task and returns a function from a list of texts to one list per output field.  The columns
+    in ``keep`` are passed through.
     """
-    schema = StructType([StructField(id_col, df.schema[id_col].dataType), *fields])
+    passed = [id_col, *keep]
+    schema = StructType([*[StructField(c, df.schema[c].dataType) for c in passed], *fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,17 +60,24 @@ def per_document(
         for batch in batches:
             for lo in range(0, batch.num_rows, STEP):
                 part = batch.slice(lo, STEP)
-                cols = work([t or "" for t in part.column(1).to_pylist()])
+                cols = work([t or "" for t in part.column(0).to_pylist()])
                 arrays = [pa.array(cols[f.name], arrow.field(f.name).type) for f in fields]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(arrow.field(0).type), *arrays], schema=arrow)
+                same = [part.column(i + 1).cast(arrow.field(i).type) for i in range(len(passed))]
+                yield pa.RecordBatch.from_arrays([*same, *arrays], schema=arrow)
 
-    return df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
+    return df.select(F.col(text_col).cast("string").alias("__input"), *[F.col(c) for c in passed]).mapInArrow(run, schema)
+
+
+def bounded_sample(df: DataFrame, rows: int, *cols: str, id_col: str = "doc_id") -> list[Row]:
+    """The rows with the smallest hashes of their id: a fixed, bounded sample for fitting a model, brought to the driver."""
+    order = F.xxhash64(F.col(id_col).cast("string"))
+    return df.select(id_col, *cols).orderBy(order, id_col).limit(rows).collect()
 
 
 class WordHashes(dict):
     """64-bit hashes of words as a task's dictionary; a word beyond the limit is hashed each time it is met."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 1_000_000):
         super().__init__()
         self.limit = limit
 
@@ -101,9 +111,10 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     if n == 0:
         return hashes
     w = min(width, n)
-    out = np.full(n - w + 1, np.uint64(w))
+    out, mixed = np.full(n - w + 1, np.uint64(w)), mix(hashes)
     for i in range(w):
-        out = out * _ODD + mix(hashes[i : i + n - w + 1])
+        out *= _ODD
+        out += mixed[i : i + n - w + 1]
     return mix(out)
 
 

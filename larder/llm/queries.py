@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from larder.llm.bpe import op1_bpe
+from larder.llm.decontaminate import op10_decontaminate
+from larder.llm.language_id import op4_language_id
+from larder.llm.secrets import op7_secrets
+from larder.llm.token_store import op9_token_store
+from larder.llm.toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_bpe,)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op4_language_id, op5_toxicity, op7_secrets, op9_token_store, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
