@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from larder.llm.bpe import op1_bpe
 from larder.llm.decontaminate import op10_decontaminate
+from larder.llm.jaccard import op6_jaccard
 from larder.llm.language_id import op4_language_id
 from larder.llm.quality import op3_quality
 from larder.llm.secrets import op7_secrets
 from larder.llm.token_store import op9_token_store
 from larder.llm.toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_quality, op4_language_id, op5_toxicity, op7_secrets, op9_token_store, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_quality, op4_language_id, op5_toxicity, op6_jaccard, op7_secrets, op9_token_store, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
