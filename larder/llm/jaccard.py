@@ -23,8 +23,6 @@ links is returned.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -35,6 +33,7 @@ from pyspark.sql.types import LongType, StructField
 
 from larder.llm.common import WordHashes, corpus, lower_ascii, per_document, shingles, stored
 from larder.llm.components import components
+from larder.llm.packed import by_bucket, gathered, how_many, split
 
 WIDTH = 5
 PERCENT = 75
@@ -78,26 +77,13 @@ def class_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return per_document(df, make, [StructField("n", LongType()), StructField("class", LongType())], id_col, text_col)
 
 
-def _buckets(df: DataFrame) -> int:
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _split(buckets: int, key: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
-    """Rows (bucket, packed columns) of entries dealt out by their shingle."""
-    bucket = (key % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    at, starts = np.unique(bucket[order], return_index=True)
-    for b, lo, hi in zip(at.tolist(), starts.tolist(), [*starts[1:].tolist(), len(order)]):
-        yield (b, *[c[order[lo:hi]].tobytes() for c in columns])
-
-
 def _texts(df: DataFrame, text_col: str) -> DataFrame:
     return df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
 
 
 def frequent_shingles(df: DataFrame, text_col: str) -> np.ndarray:
     """Sorted hashes of the shingles with very many prefix entries under the plain hash order."""
-    buckets = _buckets(df)
+    buckets = how_many(df)
 
     def emit(frames):
         sets = ShingleSets()
@@ -105,10 +91,10 @@ def frequent_shingles(df: DataFrame, text_col: str) -> np.ndarray:
             parts = [s[: _prefix_length(len(s))] for s in map(sets.of, f["t"]) if len(s)]
             if parts:
                 keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-                yield pd.DataFrame(_split(buckets, keys, keys, counts.astype("<u4")), columns=["bucket", "keys", "counts"])
+                yield pd.DataFrame(split(buckets, keys, keys, counts.astype("<u4")), columns=["bucket", "keys", "counts"])
 
     def count(frames):
-        for key, f in _by_bucket(frames):
+        for key, f in by_bucket(frames):
             keys = np.frombuffer(b"".join(f["keys"]), "<u8")
             counts = np.frombuffer(b"".join(f["counts"]), "<u4").astype(np.int64)
             found, at = np.unique(keys, return_inverse=True)
@@ -118,34 +104,13 @@ def frequent_shingles(df: DataFrame, text_col: str) -> np.ndarray:
                 yield pd.DataFrame({"shingle": found[hot].view(np.int64), "n": total[hot].astype(np.int64)})
 
     packed = _texts(df, text_col).mapInPandas(emit, "bucket long, keys binary, counts binary")
-    hot = stored(_gathered(packed).mapInPandas(count, "shingle long, n long"), "frequent-shingles")
+    hot = stored(gathered(packed).mapInPandas(count, "shingle long, n long"), "frequent-shingles")
     limit = FREQUENT
     while hot.where(F.col("n") > limit).count() > BROADCAST:
         limit *= 2
     return np.sort(hot.where(F.col("n") > limit).select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
-def _gathered(packed: DataFrame) -> DataFrame:
-    parts = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
-
-
-def _by_bucket(frames) -> Iterator[tuple[int, pd.DataFrame]]:
-    """Whole buckets of a partition sorted by bucket."""
-    held: list[pd.DataFrame] = []
-    for f in frames:
-        while len(f):
-            now = f["bucket"].iloc[0]
-            if held and held[0]["bucket"].iloc[0] != now:
-                yield held[0]["bucket"].iloc[0], pd.concat(held)
-                held = []
-            same = f["bucket"] == now
-            held.append(f[same])
-            f = f[~same]
-    if held:
-        yield held[0]["bucket"].iloc[0], pd.concat(held)
-
-
 def _fits(small: np.ndarray, large: np.ndarray) -> np.ndarray:
     """Whether sets of these sizes can be similar enough at all."""
     return 100 * small >= PERCENT * large
@@ -153,7 +118,7 @@ def _fits(small: np.ndarray, large: np.ndarray) -> np.ndarray:
 
 def candidates(df: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
     """Pairs of classes (``a``, ``b``), and the members of long lists (``list``, ``class``, ``n``) where ``a`` is NULL."""
-    buckets, shared = _buckets(df), df.sparkSession.sparkContext.broadcast(frequent)
+    buckets, shared = how_many(df), df.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(frames):
         sets, hot = ShingleSets(), shared.value
@@ -172,14 +137,14 @@ def candidates(df: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
             pick = order[place < prefix[owner]]
             keys, owner = keys[pick], owner[pick]
             yield pd.DataFrame(
-                _split(buckets, keys, keys, np.array(list(first), "<i8")[owner], lengths.astype("<u4")[owner]),
+                split(buckets, keys, keys, np.array(list(first), "<i8")[owner], lengths.astype("<u4")[owner]),
                 columns=["bucket", "keys", "names", "sizes"],
             )
 
     columns = ["a", "b", "list", "class", "n"]
 
     def meet(batches):
-        for _, f in _by_bucket(b.to_pandas() for b in batches):
+        for _, f in by_bucket(b.to_pandas() for b in batches):
             keys = np.frombuffer(b"".join(f["keys"]), "<u8")
             names = np.frombuffer(b"".join(f["names"]), "<i8")
             sizes = np.frombuffer(b"".join(f["sizes"]), "<u4").astype(np.int64)
@@ -210,7 +175,7 @@ def candidates(df: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
                 )
 
     packed = _texts(df, text_col).mapInPandas(emit, "bucket long, keys binary, names binary, sizes binary")
-    return stored(_gathered(packed).mapInArrow(meet, "a long, b long, list long, class long, n long"), "jaccard-candidates")
+    return stored(gathered(packed).mapInArrow(meet, "a long, b long, list long, class long, n long"), "jaccard-candidates")
 
 
 def segments(df: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
