@@ -9,8 +9,9 @@ from larder.llm.language_id import op4_language_id
 from larder.llm.lm_score import op8_lm_score
 from larder.llm.quality import op3_quality
 from larder.llm.secrets import op7_secrets
+from larder.llm.suffix_dedup import op2_suffix_dedup
 from larder.llm.token_store import op9_token_store
 from larder.llm.toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_quality, op4_language_id, op5_toxicity, op6_jaccard, op7_secrets, op8_lm_score, op9_token_store, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_suffix_dedup, op3_quality, op4_language_id, op5_toxicity, op6_jaccard, op7_secrets, op8_lm_score, op9_token_store, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
