@@ -6,6 +6,7 @@ whatever their names, cannot clash.  NULL ids are passed through; a NULL text co
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -68,10 +69,20 @@ def per_document(
     return df.select(F.col(text_col).cast("string").alias("__input"), *[F.col(c) for c in passed]).mapInArrow(run, schema)
 
 
+def hashed_rows(df: DataFrame, rows: int, id_col: str = "doc_id", total: int | None = None) -> DataFrame:
+    """The rows with the smallest hashes of their id, up to so many: a fixed, bounded sample for fitting a model.
+
+    A cut-off from the row count leaves about four times as many rows to be ordered, however large the table is.
+    """
+    total = df.count() if total is None else total
+    low = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30))
+    near = df.where(low < F.lit(math.ceil((1 << 30) * min(1.0, 4 * rows / max(1, total)))))
+    return near.orderBy(low, id_col).limit(rows)
+
+
 def bounded_sample(df: DataFrame, rows: int, *cols: str, id_col: str = "doc_id") -> list[Row]:
-    """The rows with the smallest hashes of their id: a fixed, bounded sample for fitting a model, brought to the driver."""
-    order = F.xxhash64(F.col(id_col).cast("string"))
-    return df.select(id_col, *cols).orderBy(order, id_col).limit(rows).collect()
+    """The same, brought to the driver."""
+    return hashed_rows(df.select(id_col, *cols), rows, id_col).collect()
 
 
 class WordHashes(dict):

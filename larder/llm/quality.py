@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import corpus, stored
+from larder.llm.common import corpus, hashed_rows, stored
 
 BLANK = r"[\x20\x09-\x0D]+"
 INKED = r"[^\x20\x09-\x0D]"
@@ -124,10 +124,10 @@ def cascade(rules: Mapping[str, Column], order: Sequence[str]) -> Column:
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE) -> DataFrame:
     """The columns of :func:`measured` with ``failed``: the base rule or the first rule of the cascade that rejects."""
     rules = {name: rule() for name, rule in RULES.items()}
-    order = F.xxhash64(F.col(id_col).cast("string"))
-    sample = df.select(id_col, text_col).orderBy(order, id_col).limit(sample_rows)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fitted = stored(measured(sample, id_col, text_col).repartition(min(8, parts)), "quality-sample")
+    # Written before anything is measured: the measures would else be moved below the limit, to all rows.
+    sample = stored(hashed_rows(df.select(id_col, text_col), sample_rows, id_col), "quality-sample")
+    fitted = stored(measured(sample.repartition(min(8, parts)), id_col, text_col), "quality-measured")
     ranked = [name for name, _, _ in plan(fitted.where(~base_failed()), rules)]
     rows = measured(df, id_col, text_col)
     return rows.withColumn("failed", F.when(base_failed(), "base").otherwise(cascade(rules, ranked)))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from larder.llm.common import corpus, held_out, in_training, lower_ascii, per_document
+from larder.llm.common import corpus, hashed_rows, held_out, in_training, lower_ascii, per_document
 
 POSITIVES = 3000
 UNLABELLED = 6000
@@ -111,12 +111,11 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.max(F.col(label_col).cast("int")).alias("toxic")
     )
     tagged = known.join(judged, "i", "left")
-    order = [F.xxhash64(F.col("i").cast("string")), F.col("i")]
-    toxic = tagged.where("toxic = 1").orderBy(*order).limit(positives)
-    rest = tagged.where("coalesce(toxic, 0) = 0").orderBy(*order).limit(unlabelled)
-    share = tagged.agg(F.count("toxic").alias("n"), F.sum("toxic").alias("k")).first()
+    share = tagged.agg(F.count("*").alias("all"), F.count("toxic").alias("n"), F.sum("toxic").alias("k")).first()
     if not share["k"]:
         return ToxicityModel({}, -500.0)
+    toxic = hashed_rows(tagged.where("toxic = 1"), positives, "i", share["k"])
+    rest = hashed_rows(tagged.where("coalesce(toxic, 0) = 0"), unlabelled, "i", share["all"] - share["k"])
     # At most positives + unlabelled ids.
     picked = F.broadcast(toxic.unionAll(rest).select("i", F.coalesce("toxic", F.lit(0)).alias("t")))
     rows = df.join(picked, F.col(id_col) == F.col("i")).select("i", "t", F.coalesce(F.col(text_col), F.lit("")).alias("x"))
