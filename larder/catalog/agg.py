@@ -138,14 +138,14 @@ def agg_12(t: Tables):
 
 @query(
     "agg_13",
-    """SELECT l_partkey, round(ceil(sum(l_quantity * 0.25)) * max(l_tax), 4) AS whole_cost,
-    round(sum(l_quantity * 0.25) * max(l_tax), 4) AS part_cost FROM lineitem WHERE l_quantity % 2 = 1
+    """SELECT l_partkey, round(ceil(sum(CAST(l_quantity AS DECIMAL(12, 2)) * 0.25)) * max(l_tax), 4) AS whole_cost,
+    round(CAST(sum(CAST(l_quantity AS DECIMAL(12, 2)) * 0.25) AS DOUBLE) * max(l_tax), 4) AS part_cost FROM lineitem
     GROUP BY l_partkey""",
 )
 def agg_13(t: Tables):
-    q = F.col("l_quantity") * 0.25
+    q = F.col("l_quantity").cast("decimal(12,2)") * F.lit(0.25).cast("decimal(3,2)")
     return A.agg(
-        t.lineitem.where("l_quantity % 2 = 1"),
+        t.lineitem,
         ["l_partkey"],
         whole_cost=F.round(A.whole_unit_total(q, F.col("l_tax")), 4),
         part_cost=F.round(F.sum(q) * F.max("l_tax"), 4),
@@ -160,7 +160,7 @@ def agg_13(t: Tables):
 )
 def agg_14(t: Tables):
     o = t.orders.withColumn("y", F.year("o_orderdate"))
-    return A.pivot_attributes(o, ["y"], "o_orderstatus", F.max("o_totalprice"), ["F", "O", "P"])
+    return A.pivot_attributes(o, ["y"], "o_orderstatus", F.max("o_totalprice"))
 
 
 _NATION = """n AS (SELECT n_regionkey, n_nationkey, sum(o_totalprice) AS revenue FROM orders

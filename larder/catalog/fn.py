@@ -109,14 +109,14 @@ def fn_06(t: Tables):
 
 @query(
     "fn_07",
-    """WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+    """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
     s AS (SELECT day, CAST(date_trunc('week', day) AS DATE) + CASE WHEN isodow(day) <= 2 THEN 7 ELSE 14 END AS m FROM d)
     SELECT day, monday, CAST(isoyear(monday) * 100 + weekofyear(monday) AS INTEGER) AS yw,
     weekofyear(make_date(year(day), 12, 28)) = 53 AS year_has_53
     FROM (SELECT day, m + 7 * CAST(i AS INTEGER) AS monday FROM s, range(0, 3) r(i))""",
 )
 def fn_07(t: Tables):
-    days = t.events.select(F.to_date("ts").alias("day")).distinct()
+    days = t.orders.select(F.to_date("o_orderdate").alias("day")).distinct()
     return days.select(
         "day",
         F.explode(dates.forecast_weeks("day", 2, 3)).alias("monday"),

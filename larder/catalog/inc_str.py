@@ -118,7 +118,7 @@ def _topic(t: Tables, name: str) -> tuple[str, str]:
     """Events as JSON messages."""
     base = shared_dir(t.spark, name)
     ev = t.events.select("event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
-    Q.publish(ev, f"{base}/topic")
+    Q.publish(ev, f"{base}/topic", files=4)  # four batches at one file per trigger
     return base, f"{base}/topic"
 
 

@@ -23,19 +23,21 @@ def order_lines(t: Tables):
     "job_06",
     """WITH l AS (SELECT l_orderkey AS "order", l_partkey AS item, sum(l_quantity) AS quantity,
       sum(l_extendedprice * (l_discount - 0.05)) AS amount FROM lineitem GROUP BY 1, 2),
-    o AS (SELECT o_orderkey AS "order", o_custkey AS customer, o_orderdate AS created_at, o_orderstatus <> 'P' AS sub,
+    o AS (SELECT o_orderkey AS "order", o_custkey AS customer, date_trunc('week', o_orderdate) AS menu_week, o_orderstatus <> 'P' AS sub,
       lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev FROM orders),
     p AS (SELECT o."order", l.item, l.quantity AS planned_quantity FROM o JOIN l ON o.prev = l."order"),
     j AS (SELECT coalesce(l."order", p."order") AS "order", coalesce(l.item, p.item) AS item, quantity, planned_quantity,
       amount FROM l FULL JOIN p ON l."order" = p."order" AND l.item = p.item),
-    f AS (SELECT j.*, customer, CASE WHEN quantity IS NOT NULL THEN 'ORDERED' ELSE 'GENERATED' END AS line_type,
-      CASE WHEN sub AND created_at >= TIMESTAMP '1996-01-01' THEN CAST(quantity IS NOT NULL AND planned_quantity IS NULL
+    f AS (SELECT j.*, customer, sub AND menu_week >= TIMESTAMP '1996-01-01' AS counts, menu_week, CASE WHEN quantity IS NOT NULL THEN 'ORDERED' ELSE 'GENERATED' END AS line_type,
+      CASE WHEN sub AND menu_week >= TIMESTAMP '1996-01-01' THEN CAST(quantity IS NOT NULL AND planned_quantity IS NULL
         AS INTEGER) END AS added,
-      CASE WHEN sub AND created_at >= TIMESTAMP '1996-01-01' THEN CAST(quantity IS NULL AND planned_quantity IS NOT NULL
+      CASE WHEN sub AND menu_week >= TIMESTAMP '1996-01-01' THEN CAST(quantity IS NULL AND planned_quantity IS NOT NULL
         AS INTEGER) END AS removed FROM j LEFT JOIN o ON j."order" = o."order"),
-    s AS (SELECT "order", coalesce(sum(added) + sum(removed) <> abs(count(quantity) - count(planned_quantity)), false)
-      AS has_swap, coalesce(sum(added) + sum(removed) > 0 OR sum(quantity) <> sum(planned_quantity), false) AS is_adjusted
-      FROM f GROUP BY 1)
+    s AS (SELECT "order", CASE WHEN NOT counts THEN NULL
+        WHEN count(planned_quantity) = 0 AND menu_week >= TIMESTAMP '1998-01-01' THEN false
+        ELSE coalesce(sum(added) + sum(removed) <> abs(count(quantity) - count(planned_quantity)), false) END AS has_swap,
+      CASE WHEN counts THEN coalesce(sum(added) + sum(removed) <> 0 OR sum(quantity) <> sum(planned_quantity), false) END
+        AS is_adjusted FROM f GROUP BY "order", counts, menu_week)
     SELECT f."order", customer, item, line_type, added, removed, quantity IS NOT NULL AND round(amount, 6) > 0 AS is_plus_price,
     quantity IS NOT NULL AND round(amount, 6) < 0 AS is_thrifty, md5(f."order" || '-' || item) AS pk_order_line,
     coalesce(md5(CAST(customer AS VARCHAR)), '0') AS fk_customer, has_swap, is_adjusted FROM f JOIN s ON f."order" = s."order\"""",
@@ -49,10 +51,10 @@ def job_06(t: Tables):
     heads = t.orders.select(
         F.col("o_orderkey").alias("order"),
         F.col("o_custkey").alias("customer"),
-        F.col("o_orderdate").alias("created_at"),
+        F.date_trunc("week", "o_orderdate").alias("menu_week"),
         (F.col("o_orderstatus") != "P").alias("is_subscription"),
     )
-    fact = facts.order_fact(lines, plan.drop("prev"), heads, F.expr("timestamp_ntz'1996-01-01 00:00:00'"))
+    fact = facts.order_fact(lines, plan.drop("prev"), heads, F.expr("timestamp_ntz'1996-01-01 00:00:00'"), F.expr("timestamp_ntz'1998-01-01 00:00:00'"))
     return fact.drop("quantity", "planned_quantity", "amount")
 
 

@@ -131,7 +131,7 @@ def job_16(t: Tables):
 
 
 _MAPPED = f"""{SPLIT}, known AS (SELECT p.company, p.year, p.week, p.orders, q.orders AS mapped FROM past p
-  LEFT JOIN weekly q ON q.company = p.company AND q.year = p.year - 1 AND q.week = p.week WHERE p.week <= 52 AND p.year > 1995),
+  LEFT JOIN weekly q ON q.company = p.company AND q.year = p.year - 1 AND q.week = p.week),
 fut AS (SELECT f.*, q.orders AS mapped FROM future f LEFT JOIN weekly q ON q.company = f.company AND q.year = f.year - 1
   AND q.week = f.week)"""
 
@@ -158,7 +158,7 @@ def job_17(t: Tables):
     w = weekly_orders(t)
     past, future = split(t)
     prev = w.select("company", (F.col("year") + 1).alias("year"), "week", F.col("orders").alias("mapped"))
-    known = past.where("week <= 52 and year > 1995").join(prev, ["company", "year", "week"], "left")
+    known = past.join(prev, ["company", "year", "week"], "left")
     fut = future.join(prev, ["company", "year", "week"], "left")
     g = P.project_growth(known, fut, "orders", "mapped", ~F.col("week").isin(1, 52))
     cols = ("growth", "growth_4", "growth_12", "growth_linear")
@@ -177,7 +177,7 @@ def job_17(t: Tables):
 )
 def job_18(t: Tables):
     est = P.clean_estimations(estimations(t), cutoff_weekday=2, min_weeks=5)
-    return P.estimate_pivot(est, actual(t), [0, 1, 2, 3])
+    return P.estimate_pivot(est, actual(t))
 
 
 @query(

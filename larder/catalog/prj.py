@@ -15,12 +15,12 @@ from larder.operators import projections as P
     "prj_01",
     """SELECT CAST(o_orderkey AS BIGINT) AS order_id, CAST(o_custkey AS BIGINT) AS customer_id,
     upper(trim(o_orderstatus)) AS status, CAST(o_orderdate AS DATE) AS order_date,
-    upper(substr(o_orderpriority, 3, 1)) || lower(substr(o_orderpriority, 4)) AS priority,
-    CAST(round(o_totalprice) AS BIGINT) AS price FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'""",
+    array_to_string(list_transform(string_split(substr(o_orderpriority, 3), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')
+      AS priority, CAST(round(o_totalprice) AS BIGINT) AS price FROM orders""",
 )
 def prj_01(t: Tables):
     return P.stage(
-        t.orders.where("o_orderpriority <> '4-NOT SPECIFIED'"),
+        t.orders,
         {
             "order_id": "cast(o_orderkey as bigint)",
             "customer_id": "cast(o_custkey as bigint)",

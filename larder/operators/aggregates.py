@@ -99,12 +99,17 @@ def weighted_avg(value: Column, weight: Column) -> Column:
 
 def whole_unit_total(quantity: Column, unit: Column) -> Column:
     """Cost of a quantity bought in whole units: the summed quantity rounded up, times the unit price."""
-    return F.ceil(F.sum(quantity)) * F.max(unit)
+    return F.ceil(F.sum(quantity)).cast("double") * F.max(unit)
 
 
-def pivot_attributes(df: DataFrame, keys: Sequence[str], attr: str, val: Column, values: Sequence) -> DataFrame:
-    """Attribute rows to columns for a stated list of attributes."""
-    return df.groupBy(*keys).pivot(attr, list(values)).agg(val)
+def pivot_attributes(df: DataFrame, keys: Sequence[str], attr: str, val: Column, values: Sequence | None = None) -> DataFrame:
+    """Attribute rows to columns; the attributes come from the data, and one outside a stated list is an error."""
+    if values is None:
+        return df.groupBy(*keys).pivot(attr).agg(val)
+    stated = F.col(attr).isNull() | F.col(attr).isin(*values)
+    unknown = F.raise_error(F.concat(F.lit(f"{attr} is not among the stated columns: "), F.col(attr).cast("string")))
+    checked = df.withColumn(attr, F.when(stated, F.col(attr)).otherwise(unknown.cast(df.schema[attr].dataType)))
+    return checked.groupBy(*keys).pivot(attr, list(values)).agg(val)
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], val: str, out: str = "share") -> DataFrame:

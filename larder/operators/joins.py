@@ -30,8 +30,8 @@ def full_join_coalesce(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataF
     return a.join(b, list(keys), "full")
 
 
-def cross_small(a: DataFrame, b: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """All pairs with a small generated dimension.
+def cross_small(a: DataFrame, b: DataFrame, max_rows: int) -> DataFrame:
+    """All pairs with a dimension whose size the caller states.
 
     ``b`` becomes one array value; more than ``max_rows`` rows in it is an error, so nothing large is ever replicated.
     """

@@ -15,18 +15,23 @@ from larder.operators.joins import as_of
 from larder.operators.projections import band
 
 
-def order_fact(lines: DataFrame, plan: DataFrame, orders: DataFrame, analysis_from: Column) -> DataFrame:
+def order_fact(
+    lines: DataFrame, plan: DataFrame, orders: DataFrame, analysis_from: Column, plans_from: Column
+) -> DataFrame:
     """Ordered against planned items.
 
     ``lines``: order, item, quantity, amount (one row per order and item).  ``plan``: order, item, planned_quantity.
-    ``orders``: order, customer, created_at, is_subscription.  An item only in the plan becomes a GENERATED line.
-    Added and removed are counted for subscription orders from ``analysis_from`` on and are NULL elsewhere.
+    ``orders``: order, customer, menu_week, is_subscription.  An item only in the plan becomes a GENERATED line.
+    Added, removed, swap and adjustment are known for subscription orders of menu weeks from ``analysis_from`` on and
+    are NULL elsewhere.  From ``plans_from`` on every such order has a plan; one without is not a swap.
     """
     j = lines.join(plan, ["order", "item"], "full").join(orders, "order", "left")
     ordered, planned = F.col("quantity").isNotNull(), F.col("planned_quantity").isNotNull()
-    counts = F.col("is_subscription") & (F.col("created_at") >= analysis_from)
+    counts = F.col("is_subscription") & (F.col("menu_week") >= analysis_from)
     fact = j.select(
         "order",
+        "menu_week",
+        counts.alias("counts"),
         "customer",
         "item",
         "quantity",
@@ -40,7 +45,7 @@ def order_fact(lines: DataFrame, plan: DataFrame, orders: DataFrame, analysis_fr
         surrogate_key("order", "item").alias("pk_order_line"),
         surrogate_key("customer").alias("fk_customer"),
     )
-    per_order = fact.groupBy("order").agg(
+    per_order = fact.groupBy("order", "menu_week", "counts").agg(
         F.sum("added").alias("n_added"),
         F.sum("removed").alias("n_removed"),
         F.count("quantity").alias("meals"),
@@ -51,10 +56,12 @@ def order_fact(lines: DataFrame, plan: DataFrame, orders: DataFrame, analysis_fr
     moved = F.col("n_added") + F.col("n_removed")
     flags = per_order.select(
         "order",
-        F.coalesce(moved != F.abs(F.col("meals") - F.col("meals_planned")), F.lit(False)).alias("has_swap"),
-        F.coalesce((moved > 0) | (F.col("portions") != F.col("portions_planned")), F.lit(False)).alias("is_adjusted"),
+        F.when(F.col("counts") & (F.col("meals_planned") == 0) & (F.col("menu_week") >= plans_from), False)
+        .when(F.col("counts"), F.coalesce(moved != F.abs(F.col("meals") - F.col("meals_planned")), F.lit(False)))
+        .alias("has_swap"),
+        F.when(F.col("counts"), F.coalesce((moved != 0) | (F.col("portions") != F.col("portions_planned")), F.lit(False))).alias("is_adjusted"),
     )
-    return fact.join(flags, "order")
+    return fact.drop("menu_week", "counts").join(flags, "order")
 
 
 def rotation_scores(
@@ -149,9 +156,9 @@ def combination_dim(sets: DataFrame, key: str, value: str, types: DataFrame) ->
 
 
 def flatten_hierarchy(
-    leaves: DataFrame, leaf: str, start: str, categories: DataFrame, levels: int = 6
+    leaves: DataFrame, leaf: str, start: str, categories: DataFrame, levels: int = 10
 ) -> DataFrame:
-    """Ancestors of each leaf in long form: level 0 is its own category, up to ``levels`` in all.
+    """Ancestors of each leaf in long form: level 0 is its own category; more than ``levels`` in all are an error.
 
     ``categories``: category, parent.  The category table is a small dimension, joined once per level onto one wide
     row per category, so the leaves are joined once.
@@ -164,7 +171,10 @@ def flatten_hierarchy(
         F.struct(F.lit(i).alias("level"), F.col(f"c{i}").alias("category"), F.col(f"c{i + 1}").alias("parent"))
         for i in range(levels)
     ]
-    wide = chain.select("c0", F.filter(F.array(*rungs), lambda r: r["category"].isNotNull()).alias("up"))
+    above = categories.select(F.col("category").alias(f"c{levels}"), F.lit(True).alias("deeper"))
+    found = F.filter(F.array(*rungs), lambda r: r["category"].isNotNull())
+    too_deep = F.raise_error(F.lit(f"hierarchy deeper than {levels}"))
+    wide = chain.join(above, f"c{levels}", "left").select("c0", F.when(F.col("deeper").isNull(), found).otherwise(too_deep).alias("up"))
     return (
         leaves.join(wide, leaves[start] == F.col("c0"), "left")
         .select(leaf, F.explode("up").alias("r"))

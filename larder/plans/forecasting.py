@@ -145,11 +145,11 @@ def project_growth(known: DataFrame, future: DataFrame, target: str, mapped: str
     )
 
 
-def estimate_pivot(estimations: DataFrame, actual: DataFrame, columns: Sequence, by: str = "company") -> DataFrame:
-    """Estimates per days-to-cutoff (rows) and series (columns); day 0 shows the actual orders."""
+def estimate_pivot(estimations: DataFrame, actual: DataFrame, by: str = "company") -> DataFrame:
+    """Estimates per days-to-cutoff (rows) and series (columns, as found); day 0 shows the actual orders."""
     e = estimations.join(actual, [by, "year", "week"], "left")
     value = F.when(F.col("days_to_cutoff") == 0, F.coalesce("orders", "quantity")).otherwise(F.col("quantity"))
-    return e.groupBy("year", "week", "days_to_cutoff").pivot(by, list(columns)).agg(F.max(value))
+    return e.groupBy("year", "week", "days_to_cutoff").pivot(by).agg(F.max(value))
 
 
 def estimate_deltas(estimations: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, PCA, HashingTF, IndexToString, Normalizer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IDF, PCA, CountVectorizer, IndexToString, Normalizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,12 +73,12 @@ def missing_tags(tokens: DataFrame, keys: DataFrame, key: str, mapping: Mapping[
     return every.join(exact_tags(tokens, key, mapping), [key, "tag"], "left_anti")
 
 
-def train_text_classifier(df: DataFrame, tokens: str, label: str, features: int = 1 << 14, reg: float = 0.01) -> PipelineModel:
-    """TF-IDF and multinomial logistic regression over a token column."""
+def train_text_classifier(df: DataFrame, tokens: str, label: str, vocabulary: int = 1 << 18, reg: float = 0.01) -> PipelineModel:
+    """TF-IDF over the counted vocabulary (its most frequent words, if it has more) and multinomial logistic regression."""
     return Pipeline(
         stages=[
             StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc", handleInvalid="keep"),
-            HashingTF(inputCol=tokens, outputCol="__tf", numFeatures=features),
+            CountVectorizer(inputCol=tokens, outputCol="__tf", vocabSize=vocabulary),
             IDF(inputCol="__tf", outputCol="__x"),
             LogisticRegression(featuresCol="__x", labelCol="__y", regParam=reg, maxIter=30, probabilityCol="__p"),
         ]

@@ -47,16 +47,13 @@ def local_session(cores: int | str = "*", memory: str = "12g", shuffle_partition
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``; only where that is unset
-    (tests on one machine) a local temporary folder is used.
+    The folder comes from ``spark.checkpoint.dir``.  A session in one process
+    may leave that unset and gets a local temporary folder; on a cluster, whose
+    executors would each write to a disk of their own, that is an error.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="larder-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable, keeping any folder the cluster has set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoint"))

@@ -144,6 +144,7 @@ def route(stream: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQ
     return _start(stream, checkpoint, handle)
 
 
-def publish(df: DataFrame, path: str, files: int = 4) -> None:
-    """Write rows as JSON messages."""
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).repartition(files).write.mode("append").text(path)
+def publish(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Write rows as JSON messages, a file for each partition or a stated number of files."""
+    messages = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    (messages.repartition(files) if files else messages).write.mode("append").text(path)

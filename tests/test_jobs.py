@@ -13,6 +13,7 @@ from larder.operators import quality as D
 from larder.operators import windows as W
 from larder.plans import baskets as B
 from larder.plans import experiments as X
+from larder.plans import facts
 from larder.plans import forecasting as P
 from larder.plans import menus as M
 from larder.plans import recommend as R
@@ -176,3 +177,31 @@ def test_holiday_features(spark):
     assert got["05-09"].is_holiday_on_thursday and not got["05-09"].is_long_weekend
     assert (got["05-01"].days_until_next_holiday, got["05-01"].days_since_last_holiday) == (8, 2)
     assert got["05-10"].days_until_next_holiday == 2
+
+
+def test_order_fact_knows_swaps_only_where_plans_exist(spark):
+    lines = spark.createDataFrame([(o, i, 1.0, 5.0) for o in (1, 2, 3, 4) for i in (10, 11)], "order long, item long, quantity double, amount double")
+    plan = spark.createDataFrame([(o, i, 1.0) for o in (1, 2, 3) for i in (10, 12)], "order long, item long, planned_quantity double")
+    heads = [(1, 7, "2020-01-06", True), (2, 7, "2020-01-06", False), (3, 7, "2010-01-04", True), (4, 7, "2020-01-06", True)]
+    orders = spark.createDataFrame(heads, "order long, customer long, menu_week string, is_subscription boolean").withColumn("menu_week", F.to_date("menu_week"))
+    fact = facts.order_fact(lines, plan, orders, F.lit("2015-01-01").cast("date"), F.lit("2018-01-01").cast("date"))
+    flags = {r.order: (r.has_swap, r.is_adjusted) for r in fact.select("order", "has_swap", "is_adjusted").distinct().collect()}
+    # A swap and an adjustment; no subscription; before plans were kept; no plan after every order has one.
+    assert flags == {1: (True, True), 2: (None, None), 3: (None, None), 4: (False, True)}
+
+
+def test_hierarchy_of_seven_levels_and_too_deep(spark):
+    tree = spark.createDataFrame([(f"c{i}", f"c{i + 1}" if i < 6 else None) for i in range(7)], "category string, parent string")
+    leaves = spark.createDataFrame([(1, "c0")], "leaf long, start string")
+    assert facts.flatten_hierarchy(leaves, "leaf", "start", tree).count() == 7
+    with pytest.raises(Exception, match="deeper"):
+        facts.flatten_hierarchy(leaves, "leaf", "start", tree, levels=6).collect()
+
+
+def test_attribute_outside_the_stated_columns_is_an_error(spark):
+    from larder.operators.aggregates import pivot_attributes
+
+    df = spark.createDataFrame([(1, "a", 2), (1, "b", 3)], "k long, attr string, v long")
+    assert pivot_attributes(df, ["k"], "attr", F.max("v")).columns == ["k", "a", "b"]
+    with pytest.raises(Exception, match="not among"):
+        pivot_attributes(df, ["k"], "attr", F.max("v"), ["a"]).collect()
