@@ -139,3 +139,22 @@ def op3_quality(spark, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), F.col("failed").isNull().alias("kept"),
     )
+
+
+#: The same result in DuckDB's SQL.
+OP3_SQL = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+windows AS (SELECT doc_id, i, words[i:i + 4] AS k FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
+twins AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM twins) GROUP BY doc_id),
+m AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+  len(lines) AS n_lines, len(regexp_extract_all(text, '\p{Lu}')) AS capitals,
+  len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS stutters
+  FROM w LEFT JOIN covered c ON c.doc_id = w.doc_id),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines OR 2 * word_chars < 5 * n_words
+    OR word_chars > 12 * n_words OR 100 * capitals > 50 * word_chars OR 100 * stutters > 30 * n_words) AS kept FROM b"""
