@@ -59,6 +59,12 @@ def fuzzy_tags(
     pairs = words.select("token", F.explode(_keywords(mapping)).alias("k")).select("token", "k.keyword", "k.tag")
     exact = pairs.where(F.col("token") == F.col("keyword"))
     rest = pairs.where(~F.col("token").isin(known))
+    # No stretch can share more characters than the shorter text has in common with the longer one.
+    token_first = F.length("token") <= F.length("keyword")
+    short, long = F.when(token_first, F.col("token")).otherwise(F.col("keyword")), F.when(token_first, F.col("keyword")).otherwise(F.col("token"))
+    rest = rest.withColumns({"__short": short, "__long": long})
+    m, shared = F.length("__short"), F.length("__short") - F.length(F.expr("translate(__short, __long, '')"))
+    rest = rest.where((m == 0) | (200 * shared > threshold * (m + shared))).drop("__short", "__long")
     score = partial_ratio("token", "keyword")
     bad = F.lit(False)
     for a, b in penalty_pairs:
@@ -74,15 +80,21 @@ def missing_tags(tokens: DataFrame, keys: DataFrame, key: str, mapping: Mapping[
 
 
 def train_text_classifier(df: DataFrame, tokens: str, label: str, vocabulary: int = 1 << 18, reg: float = 0.01) -> PipelineModel:
-    """TF-IDF over the counted vocabulary (its most frequent words, if it has more) and multinomial logistic regression."""
+    """TF-IDF over the counted vocabulary (its most frequent words, if it has more) and multinomial logistic regression.
+
+    Every label weighs as much as any other, however many rows it has.
+    """
+    sizes = df.groupBy(F.col(label).alias("__l")).agg((1.0 / F.count("*")).alias("__w"))
+    per_label = df.count() / max(1, sizes.count())
+    weighted = df.join(sizes, F.col(label).eqNullSafe(F.col("__l"))).withColumn("__w", F.col("__w") * per_label)
     return Pipeline(
         stages=[
             StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc", handleInvalid="keep"),
             CountVectorizer(inputCol=tokens, outputCol="__tf", vocabSize=vocabulary),
             IDF(inputCol="__tf", outputCol="__x"),
-            LogisticRegression(featuresCol="__x", labelCol="__y", regParam=reg, maxIter=30, probabilityCol="__p"),
+            LogisticRegression(featuresCol="__x", labelCol="__y", regParam=reg, maxIter=30, weightCol="__w", probabilityCol="__p"),
         ]
-    ).fit(df)
+    ).fit(weighted)
 
 
 def predict_labels(model: PipelineModel, df: DataFrame, keep: Sequence[str], threshold: float, k: int = 3) -> DataFrame:
