@@ -24,13 +24,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.bwt import Collection
+from larder.llm.bwt import Collection, word_bytes
 from larder.llm.common import corpus, mix, stored
 from larder.llm.packed import by_bucket, gathered, how_many, split
 
 LENGTH = 400
 # Symbols that a task inserts into one collection, unless a single group has more.
-SYMBOLS = 1 << 19
+SYMBOLS = 1 << 17
+# Starts of a piece; longer runs with one smallest gram are several pieces of the same group.
+STARTS = 400
 # Different pieces from which a group is cut again, and by how many further orders.
 LARGE, ORDERS = 1500, 3
 # Texts are hashed in stretches of so many bytes.
@@ -115,12 +117,14 @@ def repeated_anchors(texts: DataFrame, length: int) -> DataFrame:
                     own = hashes[anchor] if last else hashes[:starts][anchor[:starts]]
                     found.append(own)
                     owner.append(np.full(len(own), k))
-            if found:
-                both = np.empty(sum(map(len, found)), [("h", "<u8"), ("k", "<i8")])
-                both["h"], both["k"] = np.concatenate(found), np.concatenate(owner)
-                both, n = np.unique(both, return_counts=True)
-                h = np.ascontiguousarray(both["h"])
-                yield pd.DataFrame(split(buckets, h, h, np.ascontiguousarray(both["k"]), n.astype("<u4")), columns=["bucket", "h", "k", "n"])
+            if sum(map(len, found)):
+                h, k = np.concatenate(found), np.concatenate(owner)
+                order = np.lexsort((k, h))
+                h, k = h[order], k[order]
+                first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (k[1:] != k[:-1])]))
+                n = np.diff(np.append(first, len(h)))
+                h, k = h[first], k[first]
+                yield pd.DataFrame(split(buckets, h, h, k, n.astype("<u4")), columns=["bucket", "h", "k", "n"])
 
     def meet(frames):
         for _, f in by_bucket(frames):
@@ -144,6 +148,10 @@ def _runs(values: np.ndarray, kept: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()) if kept[a]]
 
 
+def _short(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    return [(c, min(b, c + STARTS)) for a, b in runs for c in range(a, b, STARTS)]
+
+
 PIECES = "route long, piece long, key long, start long, n long, weight long, inner boolean, body binary"
 
 
@@ -164,7 +172,7 @@ def pieces(texts: DataFrame, length: int) -> DataFrame:
                     may = bad[g.windows_in_string :] == bad[: -g.windows_in_string]
                     if may.any():
                         route = _least(hashes, g.grams_in_string)
-                        for a, b in _runs(route, may):
+                        for a, b in _short(_runs(route, may)):
                             inner = int((hashes[a : b + g.grams_in_string - 1] == route[a]).sum()) > 1
                             out.append(_piece(part[a : b + length - 1].tobytes(), int(route[a]), key, lo + a, b - a, weight, inner))
             if out:
@@ -224,7 +232,7 @@ def repeated_starts(kinds: DataFrame, length: int) -> DataFrame:
 
 
 def _solve(rows: list[tuple], length: int) -> pd.DataFrame:
-    collection = Collection([r[3] for r in rows])
+    collection = Collection([r[3] for r in rows], word_bytes(length))
     out = []
     for (route, piece, weight, _), twice in zip(rows, collection.shared(length)):
         if weight > 1:
@@ -252,13 +260,16 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
         found = stored(found.join(large, "route", "left_anti").unionByName(again), "suffix-pieces")
     places = found.select("route", "piece", "key", "start", "n", "weight", "inner")
     kinds = places.groupBy("route", "piece").agg(F.sum("weight").alias("weight"), F.min(F.struct("key", "start")).alias("at"))
-    twice = places.groupBy("route").agg(F.sum("weight").alias("all"), F.max("inner").alias("inner")).where("all >= 2 or inner").select("route")
+    # A route with one kind of piece has nothing to be compared with: its weight tells whether its strings repeat.
+    groups = places.groupBy("route").agg(F.min("piece").alias("low"), F.max("piece").alias("high"), F.sum("weight").alias("all"), F.max("inner").alias("inner"))
+    lone = groups.where("low = high and all >= 2").select("route")
+    twice = groups.where("low <> high or (inner and all = 1)").select("route")
     chosen = kinds.join(twice, "route").select("route", "piece", "weight", F.col("at.key").alias("key"), F.col("at.start").alias("start"))
     bodies = found.select("route", "piece", "key", "start", "body")
     runs = stored(repeated_starts(bodies.join(chosen, ["route", "piece", "key", "start"]), length), "suffix-runs")
-    spans = places.join(runs.withColumnRenamed("n", "m"), ["route", "piece"]).select(
-        "key", (F.col("start") + F.col("begin")).alias("a"), (F.col("start") + F.col("begin") + F.col("m") + length - 1).alias("b")
-    )
+    whole = places.join(lone, "route").select("key", F.col("start").alias("begin"), "n")
+    inside = places.drop("n").join(runs, ["route", "piece"]).select("key", (F.col("start") + F.col("begin")).alias("begin"), "n")
+    spans = whole.unionAll(inside).select("key", F.col("begin").alias("a"), (F.col("begin") + F.col("n") + length - 1).alias("b"))
     marked = spans.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
     def remove(frames):
