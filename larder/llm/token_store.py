@@ -21,24 +21,29 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import struct
 import uuid
+from array import array
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import regex
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from larder.llm.bpe import byte_letters
 from larder.llm.common import corpus, mix, shared_dir, stored
 
 BYTE_BPE = "byte_bpe_50k.json"
 END = 0
 KEYS_PER_BUCKET = 200_000
-KEPT_UNITS = 400_000
+# Units and pre-tokens whose ids a Python worker keeps.
+KEPT_UNITS, KEPT_PIECES = 700_000, 300_000
 
 _HEAD = 16  # bytes before the first id: a mark and the bytes of an id
 _FOOT = "<QQ"  # documents, ids; behind the table of starts
@@ -46,11 +51,20 @@ _INDEX = "<4sIQ"  # mark, levels, keys
 _SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("place", "<u4"), ("count", "<u4")])
 
 
+# The pre-token pattern of a byte-level tokenizer, used on Latin letters only; other units go through the library whole.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_LATIN = re.compile("[\t-\r -~\u00a1-\u024f]*")
+
+
+_ENDS = (".", ",")
+
+
 class UnitEncoder:
     """The library's ids of whole texts, put together from units that it encodes once.
 
     A space that stands before another character starts a pre-token of its own, whatever stands before it, so a text may
-    be cut before a space that follows something else than a space.  Units are encoded by the library.
+    be cut before a space that follows something else than a space.  Units repeat; a new one is cut into pre-tokens, which
+    repeat more, and these are encoded by the library's model.
     """
 
     def __init__(self, path: str, kept: int = KEPT_UNITS):
@@ -59,7 +73,9 @@ class UnitEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
-        self.kept, self.first, self.rest = kept, {}, {}
+        self.model, self.code = self.library.model, "H" if self.dtype == "<u2" else "I"
+        self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
+        self.kept, self.pieces, self.rest = kept, {}, _Following(self)
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -76,21 +92,45 @@ class UnitEncoder:
                 spaces = 0
         return joined
 
-    def _learn(self, units: set[str], lead: str, known: dict[str, bytes]) -> None:
-        missing = [u for u in units if u not in known]
-        if len(known) + len(missing) > self.kept:
-            known.clear()
-            missing = list(units)
-        coded = self.library.encode_batch_fast([lead + u for u in missing], add_special_tokens=False)
-        known.update((u, np.array(c.ids, self.dtype).tobytes()) for u, c in zip(missing, coded))
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+            ids = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if len(self.pieces) < KEPT_PIECES:
+                self.pieces[piece] = ids
+        return ids
+
+    def _unit(self, unit: str) -> bytes:
+        if _LATIN.fullmatch(unit) and "<|" not in unit:
+            return b"".join(map(self._piece, _PIECES.findall(unit)))
+        return array(self.code, self.library.encode(unit, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, without the end id."""
-        cuts = [self.cut(t) for t in texts]
-        first, rest = self.first, self.rest
-        self._learn({c[0] for c in cuts}, "", first)
-        self._learn({u for c in cuts for u in c[1:]}, " ", rest)
-        return [first[c[0]] + b"".join([rest[u] for u in c[1:]]) for c in cuts]
+        follow, out = self.rest.__getitem__, []
+        for t in texts:
+            units = self.cut(t)
+            out.append(self._unit(units[0]) + b"".join(map(follow, units[1:])))
+        return out
+
+
+class _Following(dict):
+    """Ids of a unit behind a space; units beyond the limit are encoded each time."""
+
+    def __init__(self, code: UnitEncoder):
+        super().__init__()
+        self.code = code
+
+    def __missing__(self, unit: str) -> bytes:
+        # A mark behind a letter or digit is a pre-token of its own.
+        if unit[-1:] in _ENDS and unit[-2:-1].isalnum() and unit.isprintable():
+            ids = self[unit[:-1]] + self.code._piece(unit[-1])
+        else:
+            ids = self.code._unit(" " + unit)
+        if len(self) < self.code.kept:
+            self[unit] = ids
+        return ids
 
 
 _ENCODERS: dict[str, UnitEncoder] = {}
