@@ -7,10 +7,11 @@ result names for each the smallest document id it can reach by links.
 2. Candidates: under any global order of shingles, linked sets share one of their first ``n - ceil(0.75 n) + 1``.  The
    order puts frequent shingles last (by hash among equals), so those prefixes meet in short lists.  Short lists give
    all their pairs of fitting size; in a longer list all members are compared with one of them, the hub.
+   Pairs whose parity sketches differ in more cells than linked sets may differ in shingles are left out.
 3. Verification: the global order is cut into ``FRAGMENTS`` ranges, each pair's overlap is counted in every fragment
    separately and the partial counts are summed.
-4. Members of a long list that are not yet connected are compared again, with further hubs while that leaves many pairs
-   and then pair by pair across components.  Pairs inside a component need no comparison: the components are exact.
+4. Long lists with one hub are put together (copies share most of their lists).  Members that are not yet connected are
+   compared again, with further hubs while that leaves many pairs and then pair by pair across components.  Pairs inside a component need no comparison: the components are exact.
 
 The frequent shingles are broadcast: those with more than ``FREQUENT`` prefix entries, of which the threshold is doubled
 until at most ``BROADCAST`` are left (8 MB).  They only set the order; any choice gives the same links.
@@ -29,16 +30,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField
 
-from larder.llm.common import WordHashes, corpus, lower_ascii, per_document, shingles, stored
+from larder.llm.common import WordHashes, corpus, lower_ascii, shingles, stored
 from larder.llm.components import components
 from larder.llm.packed import by_bucket, gathered, how_many, split
 
 WIDTH = 5
 PERCENT = 75
 FRAGMENTS = 8
-FREQUENT = 64
+FREQUENT = 4
 BROADCAST = 1 << 20
 SHORT = 8
 
@@ -58,43 +58,55 @@ def _name(shingle_set: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingle_set.astype("<u8").tobytes())).view(np.int64))
 
 
-def _prefix_length(n: int) -> int:
-    return n - (-(-PERCENT * n // 100)) + 1
-
-
-def class_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id, set size and class of every document."""
-
-    def make():
-        sets = ShingleSets()
-
-        def work(texts):
-            found = [sets.of(t) for t in texts]
-            return {"n": [len(s) for s in found], "class": [_name(s) for s in found]}
+def _parity(shingle_set: np.ndarray) -> list[int]:
+    """For each of 256 cells whether an odd number of shingles falls into it, as four words."""
+    bits, word = np.uint64(1) << (shingle_set & np.uint64(63)), (shingle_set >> np.uint64(6)) & np.uint64(3)
+    return [int(np.bitwise_xor.reduce(bits[word == k], initial=np.uint64(0)).view(np.int64)) for k in range(4)]
 
-        return work
 
-    return per_document(df, make, [StructField("n", LongType()), StructField("class", LongType())], id_col, text_col)
+def _prefix_length(n: int) -> int:
+    return n - (-(-PERCENT * n // 100)) + 1
 
 
 def _texts(df: DataFrame, text_col: str) -> DataFrame:
     return df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
 
 
-def frequent_shingles(df: DataFrame, text_col: str) -> np.ndarray:
-    """Sorted hashes of the shingles with very many prefix entries under the plain hash order."""
+PARITY = "p0 long, p1 long, p2 long, p3 long"
+
+
+def first_pass(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Set size ``n``, ``class`` and parities of every document by ``id``; packed counts of prefix entries where ``n`` is NULL."""
     buckets = how_many(df)
+    fields = [("id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), *[(f"p{k}", pa.int64()) for k in range(4)]]
+    fields += [("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
+    schema = pa.schema(fields)
 
-    def emit(frames):
+    def run(batches):
         sets = ShingleSets()
-        for f in frames:
-            parts = [s[: _prefix_length(len(s))] for s in map(sets.of, f["t"]) if len(s)]
+        for batch in batches:
+            found = [sets.of(t) for t in batch.column(1).to_pylist()]
+            sizes = [len(s) for s in found]
+            own = [batch.column(0), pa.array(sizes, pa.int64()), pa.array([_name(s) for s in found], pa.int64())]
+            parity = np.array([_parity(s) for s in found], np.int64).reshape(len(found), 4)
+            own += [pa.array(parity[:, k]) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([*own, *[pa.nulls(len(found), t) for _, t in fields[7:]]], schema=schema)
+            parts = [s[: _prefix_length(len(s))] for s in found if len(s)]
             if parts:
                 keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-                yield pd.DataFrame(split(buckets, keys, keys, counts.astype("<u4")), columns=["bucket", "keys", "counts"])
+                rows = list(zip(*split(buckets, keys, keys, counts.astype("<u4"))))
+                packed = [pa.array(c, t) for c, (_, t) in zip(rows, fields[7:])]
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(rows[0]), pa.int64())] * 7, *packed], schema=schema)
+
+    named = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    return stored(named.mapInArrow(run, f"id long, n long, class long, {PARITY}, bucket long, keys binary, counts binary"), "jaccard-first")
+
+
+def frequent_shingles(packed: DataFrame) -> np.ndarray:
+    """Sorted hashes of the shingles with the most prefix entries under the plain hash order."""
 
     def count(frames):
-        for key, f in by_bucket(frames):
+        for _, f in by_bucket(frames):
             keys = np.frombuffer(b"".join(f["keys"]), "<u8")
             counts = np.frombuffer(b"".join(f["counts"]), "<u4").astype(np.int64)
             found, at = np.unique(keys, return_inverse=True)
@@ -103,7 +115,6 @@ def frequent_shingles(df: DataFrame, text_col: str) -> np.ndarray:
             if hot.any():
                 yield pd.DataFrame({"shingle": found[hot].view(np.int64), "n": total[hot].astype(np.int64)})
 
-    packed = _texts(df, text_col).mapInPandas(emit, "bucket long, keys binary, counts binary")
     hot = stored(gathered(packed).mapInPandas(count, "shingle long, n long"), "frequent-shingles")
     limit = FREQUENT
     while hot.where(F.col("n") > limit).count() > BROADCAST:
@@ -111,35 +122,52 @@ def frequent_shingles(df: DataFrame, text_col: str) -> np.ndarray:
     return np.sort(hot.where(F.col("n") > limit).select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
+class Members:
+    """Look-up in a sorted array of hashes, with a table of their leading bits in front."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes, self.bits = hashes, np.zeros(1 << 24, bool)
+        self.bits[(hashes >> np.uint64(40)).astype(np.int64)] = True
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        out = self.bits[(keys >> np.uint64(40)).astype(np.int64)]
+        at = np.flatnonzero(out)
+        if len(at):
+            out[at] = self.hashes[np.minimum(np.searchsorted(self.hashes, keys[at]), len(self.hashes) - 1)] == keys[at]
+        return out
+
+
+def prefixes(sets: list[np.ndarray], frequent: Members) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix entries of all sets, frequent shingles last: shingle and set of each."""
+    lengths = np.array([len(s) for s in sets])
+    keys, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
+    late, begin = frequent.of(keys), np.cumsum(lengths) - lengths
+    early = np.concatenate([[0], np.cumsum(~late)])
+    before = early[:-1] - early[begin][owner]  # rarer shingles of the set before each entry
+    rare = early[begin + lengths] - early[begin]
+    place = np.where(late, rare[owner] + np.arange(len(keys)) - begin[owner] - before, before)
+    pick = place < (lengths - (-(-PERCENT * lengths // 100)) + 1)[owner]
+    return keys[pick], owner[pick]
+
+
 def _fits(small: np.ndarray, large: np.ndarray) -> np.ndarray:
     """Whether sets of these sizes can be similar enough at all."""
     return 100 * small >= PERCENT * large
 
 
 def candidates(df: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
-    """Pairs of classes (``a``, ``b``), and the members of long lists (``list``, ``class``, ``n``) where ``a`` is NULL."""
+    """Pairs of classes (``a``, ``b``); where ``a`` is NULL, the members (``class``, ``n``) of long lists by hub (``list``)."""
     buckets, shared = how_many(df), df.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(frames):
-        sets, hot = ShingleSets(), shared.value
+        sets, hot = ShingleSets(), Members(shared.value)
         for f in frames:
-            found = [s for s in map(sets.of, f["t"]) if len(s)]
-            if not found:
-                continue
-            first = {_name(s): s for s in found}  # copies within a batch count once
-            lengths = np.array([len(s) for s in first.values()])
-            keys = np.concatenate(list(first.values()))
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            late = np.isin(keys, hot) if len(hot) else np.zeros(len(keys), bool)
-            order = np.lexsort((keys, late, owner))
-            place = np.arange(len(keys)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            prefix = np.array([_prefix_length(int(n)) for n in lengths])
-            pick = order[place < prefix[owner]]
-            keys, owner = keys[pick], owner[pick]
-            yield pd.DataFrame(
-                split(buckets, keys, keys, np.array(list(first), "<i8")[owner], lengths.astype("<u4")[owner]),
-                columns=["bucket", "keys", "names", "sizes"],
-            )
+            first = {_name(s): s for s in map(sets.of, f["t"]) if len(s)}  # copies within a batch count once
+            if first:
+                keys, owner = prefixes(list(first.values()), hot)
+                names = np.array(list(first), "<i8")[owner]
+                sizes = np.array([len(s) for s in first.values()], "<u4")[owner]
+                yield pd.DataFrame(split(buckets, keys, keys, names, sizes), columns=["bucket", "keys", "names", "sizes"])
 
     columns = ["a", "b", "list", "class", "n"]
 
@@ -168,34 +196,47 @@ def candidates(df: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
             both = np.unique(np.stack([names[a[fit]], names[b[fit]]], axis=1), axis=0) if fit.any() else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), *[pa.nulls(len(both), pa.int64())] * 3], names=columns)
             if lists:
+                # Lists with one hub are lists of the same group: their members are put together.
+                hubs = np.concatenate([np.full(len(x), names[x[0]]) for x in lists])
                 at = np.concatenate(lists)
-                nothing = pa.nulls(len(at), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [nothing, nothing, pa.array(keys[at].view(np.int64)), pa.array(names[at]), pa.array(sizes[at])], names=columns
-                )
+                rows = np.unique(np.stack([hubs, names[at], sizes[at]], axis=1), axis=0)
+                nothing = pa.nulls(len(rows), pa.int64())
+                yield pa.RecordBatch.from_arrays([nothing, nothing, *[pa.array(rows[:, i]) for i in range(3)]], names=columns)
 
     packed = _texts(df, text_col).mapInPandas(emit, "bucket long, keys binary, names binary, sizes binary")
     return stored(gathered(packed).mapInArrow(meet, "a long, b long, list long, class long, n long"), "jaccard-candidates")
 
 
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose parities allow a link: sets differ in at least as many shingles as their parities in cells."""
+    side = lambda c: classes.select(F.col("class").alias(c), F.col("n").alias(f"n{c}"), *[F.col(f"p{k}").alias(f"{c}{k}") for k in range(4)])
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    apart = sum(F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(4))
+    # A similarity of 3/4 means that at most a seventh of both sizes differs.
+    return both.where((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def segments(df: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The sets of the wanted classes, cut into fragments of the global order: class, size, fragment, shingles."""
-    reps = classes.join(wanted.select("class").distinct(), "class").select(F.col("rep").alias(id_col)).distinct()
-    texts = df.join(reps.hint("shuffle_hash"), id_col, "left_semi")
+    reps = classes.join(wanted.select("class").distinct(), "class").select(F.col("rep").alias("id"), "class")
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
 
     def cut(frames):
-        sets = ShingleSets()
+        sets, seen = ShingleSets(), set()
         edges = np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64(2**64 // FRAGMENTS)
         for f in frames:
             for lo in range(0, len(f), 256):
-                out = []
-                for s in map(sets.of, f["t"].iloc[lo : lo + 256]):
-                    cuts = np.split(s.view(np.int64), np.searchsorted(s, edges))
-                    out += [(_name(s), len(s), k, p) for k, p in enumerate(cuts) if len(p)]
+                out, part = [], f.iloc[lo : lo + 256]
+                for wanted_class, s in zip(part["class"], map(sets.of, part["t"])):
+                    # An id may stand for several texts or rows; one of them has the class, and counts once.
+                    if _name(s) == wanted_class and wanted_class not in seen:
+                        seen.add(wanted_class)
+                        cuts = np.split(s.view(np.int64), np.searchsorted(s, edges))
+                        out += [(wanted_class, len(s), k, p) for k, p in enumerate(cuts) if len(p)]
                 yield pd.DataFrame(out, columns=["class", "n", "fragment", "shingles"])
 
-    rows = _texts(texts, text_col).mapInPandas(cut, "class long, n long, fragment int, shingles array<long>")
-    return rows.dropDuplicates(["class", "fragment"])
+    chosen = texts.join(reps.hint("shuffle_hash"), "id").select("class", "t")
+    return chosen.mapInPandas(cut, "class long, n long, fragment int, shingles array<long>")
 
 
 def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -217,11 +258,14 @@ def _labelled(members: DataFrame, place: DataFrame) -> DataFrame:
 
 def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id, ``n_shingles`` and ``component_id`` of every document."""
-    docs = stored(class_table(df, id_col, text_col), "jaccard-classes")
-    classes = docs.where("n > 0").groupBy("class", "n").agg(F.min(id_col).alias("rep"))
-    found = candidates(df, text_col, frequent_shingles(df, text_col))
-    pairs = found.where("a is not null").select("a", "b").distinct()
-    members = found.where("a is null").select("list", "class", "n")
+    seen = first_pass(df, id_col, text_col)
+    docs = seen.where("n is not null").select("id", "n", "class")
+    kinds = seen.where("n > 0").groupBy("class", "n", "p0", "p1", "p2", "p3").agg(F.min("id").alias("rep"))
+    classes = stored(kinds, "jaccard-classes")
+    frequent = frequent_shingles(seen.where("n is null").select("bucket", "keys", "counts"))
+    found = candidates(df, text_col, frequent)
+    pairs = stored(plausible(found.where("a is not null").select("a", "b").distinct(), classes), "jaccard-pairs")
+    members = stored(found.where("a is null").select("list", "class", "n").distinct(), "jaccard-lists")
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(members.select("class"))
     parts = stored(segments(df, classes, wanted, id_col, text_col), "jaccard-segments")
     links = stored(verified(pairs, parts), "jaccard-links")
@@ -235,16 +279,16 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             break
         rows = stored(_labelled(members.join(open_lists.select("list"), "list", "left_semi"), place), "jaccard-open")
         # Few pairs for what the lists hold, or another hub would not make them much fewer: compare what is left.
-        last = left <= FREQUENT // 2 * entries or (before is not None and left > 0.5 * before)
-        links = stored(links.union(verified(_across(rows) if last else _from_hubs(rows), parts)).distinct(), "jaccard-links")
+        last = left <= 8 * entries or (before is not None and left > 0.5 * before)
+        links = stored(links.union(verified(plausible(_across(rows) if last else _from_hubs(rows), classes), parts)).distinct(), "jaccard-links")
         place, before = components(links), left
         if last:
             break
 
     named = docs.join(place, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
-    smallest = named.where("n > 0").groupBy("root").agg(F.min(id_col).alias("component_id"))
+    smallest = named.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
     return named.join(smallest, "root", "left").select(
-        id_col, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col(id_col)).alias("component_id")
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
     )
 
 

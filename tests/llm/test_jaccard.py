@@ -49,7 +49,7 @@ def test_whole_table(spark):
     assert got(jaccard.op6_jaccard(spark, folder)) == plain(rows)
 
 
-@pytest.mark.parametrize("frequent", [2, 64])
+@pytest.mark.parametrize("frequent", [1, 64])
 def test_groups_of_edited_copies(spark, frequent, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard, "SHORT", 4)
