@@ -75,23 +75,25 @@ def journey_weeks(customers: DataFrame, orders: DataFrame, weeks: DataFrame) ->
     per_week = orders.groupBy("customer", "monday").agg(F.count("*").alias("n_orders"))
     firsts = per_week.groupBy("customer").agg(F.min("monday").alias("first_monday"))
     c = customers.join(firsts, "customer", "left").withColumn("signup_monday", monday_of("signup_at"))
-    # A calendar has a few hundred weeks: it is one array value per company, so customers meet one row each and the
-    # weeks they live through are chosen within the row.
-    week = F.struct(
-        "monday",
-        "seq",
-        "cutoff",
-        F.coalesce("cutoff", F.col("monday").cast("timestamp_ntz")).alias("until"),
-        F.coalesce("previous_cutoff", F.date_sub("monday", 7).cast("timestamp_ntz")).alias("after"),
+    # A calendar has a few hundred weeks per company: an equi join on the company with the dates as residual condition
+    # makes exactly the weeks that a customer lives through.
+    p = weeks.select(
+        F.col("company").alias("p_company"),
+        F.col("monday").alias("possible_monday"),
+        F.coalesce("cutoff", F.col("monday").cast("timestamp_ntz")).alias("p_end"),
+        F.coalesce("previous_cutoff", F.date_sub("monday", 7).cast("timestamp_ntz")).alias("p_before"),
     )
-    calendars = weeks.groupBy("company").agg(F.array_sort(F.collect_list(week)).alias("calendar"))
-    c = c.join(calendars, "company")
     full = F.col("full_signup_at")
-    possible = F.filter("calendar", lambda w: (w["until"] >= full) & (w["after"] < full))
-    c = c.withColumn("possible_monday", F.explode_outer(F.transform(possible, lambda w: w["monday"])))
-    start, end = F.least("signup_monday", "first_monday"), F.coalesce("deleted_at", future())
-    lives = F.filter("calendar", lambda w: (w["monday"] >= start) & (w["cutoff"] < end))
-    grid = c.withColumn("w", F.explode(lives)).select(
+    c = c.join(
+        p, (F.col("company") == F.col("p_company")) & (F.col("p_end") >= full) & (F.col("p_before") < full), "left"
+    )
+    w = weeks.select(F.col("company").alias("w_company"), "seq", "monday", "cutoff")
+    lives = (
+        (F.col("company") == F.col("w_company"))
+        & (F.col("monday") >= F.least("signup_monday", "first_monday"))
+        & (F.col("cutoff") < F.coalesce("deleted_at", future()))
+    )
+    grid = c.join(w, lives).select(
         "customer",
         "company",
         "first_monday",
@@ -100,9 +102,9 @@ def journey_weeks(customers: DataFrame, orders: DataFrame, weeks: DataFrame) ->
         monday_of("partial_signup_at").alias("partial_monday"),
         monday_of("full_signup_at").alias("full_monday"),
         "possible_monday",
-        "w.seq",
-        "w.monday",
-        "w.cutoff",
+        "seq",
+        "monday",
+        "cutoff",
     )
     g = grid.join(per_week, ["customer", "monday"], "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
     by = Window.partitionBy("customer").orderBy("seq")
