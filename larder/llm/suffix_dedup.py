@@ -82,6 +82,22 @@ class Grams:
         wide = np.concatenate([np.zeros(self.window - 1, np.uint64), least, np.zeros(self.window - 1, np.uint64)])
         return least, hashes == _least(wide, self.window, np.maximum)
 
+    def own_anchors(self, text: bytes) -> np.ndarray:
+        """Hashes of all anchors of a text, each position once.
+
+        A stretch is hashed from ``window - 1`` grams before its first start, so that all windows of its grams are seen.
+        """
+        found, n = [], len(text) - self.length + 1
+        for lo in range(0, n, STRETCH):
+            begin, end = max(0, lo - self.window + 1), min(lo + STRETCH, n)
+            hashes = self.hashes(np.frombuffer(text, np.uint8, end + self.length - 1 - begin, begin))
+            own = self.anchors(hashes)[1]
+            own[: lo - begin] = False
+            if end < n:
+                own[end - begin :] = False  # the next stretch counts these
+            found.append(hashes[own])
+        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
     def stretches(self, text: bytes):
         """Parts of a text, each with all that a string needs that starts in it: offset, bytes, starts."""
         n = len(text) - self.length + 1
@@ -108,15 +124,8 @@ def repeated_anchors(texts: DataFrame, length: int) -> DataFrame:
         for f in frames:
             found, owner, key = [], [], f["key"].to_numpy(np.int64)
             for k, text in zip(key, f["text"]):
-                text = text.encode("utf-8")
-                for lo, part, starts in g.stretches(text):
-                    hashes = g.hashes(part)
-                    anchor = g.anchors(hashes)[1]
-                    # An anchor that the next stretch sees as well is counted there.
-                    last = len(text) - length + 1 == lo + starts
-                    own = hashes[anchor] if last else hashes[:starts][anchor[:starts]]
-                    found.append(own)
-                    owner.append(np.full(len(own), k))
+                found.append(g.own_anchors(text.encode("utf-8")))
+                owner.append(np.full(len(found[-1]), k))
             if sum(map(len, found)):
                 h, k = np.concatenate(found), np.concatenate(owner)
                 order = np.lexsort((k, h))

@@ -5,6 +5,7 @@ import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from larder.llm import suffix_dedup
@@ -87,3 +88,19 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     docs, lost = suffix_dedup.repeats(empty)
     assert docs.count() == 0 and lost.count() == 0
+
+
+def test_anchors_do_not_depend_on_stretches(monkeypatch):
+    rng = random.Random(5)
+    g = suffix_dedup.Grams(25)
+    texts = [bytes(rng.choices(b"abcdefgh ", k=rng.randint(24, 1500))) for _ in range(60)]
+    whole = [sorted(g.own_anchors(t).tolist()) for t in texts]
+    monkeypatch.setattr(suffix_dedup, "STRETCH", 64)
+    for text, want in zip(texts, whole):
+        assert sorted(g.own_anchors(text).tolist()) == want
+    # Strings across every border need each of their least grams counted, as pieces() demands them.
+    for border in range(64, 640, 64):
+        text = bytes(rng.choices(b"abcdefgh ", k=800))
+        counted = set(g.own_anchors(text).tolist())
+        for start in range(border - 24, border + 1):
+            assert set(g.anchors(g.hashes(np.frombuffer(text, np.uint8, 25, start)))[0].tolist()) <= counted
