@@ -4,14 +4,16 @@ Words lose their punctuation and case; numbers, quantities ("5kg"), names (capit
 placeholders, so a benchmark question with other numbers or names has the same template.  Windows of ``WINDOW`` template
 words of every document are looked up in the hash table of the benchmark's windows.  Where windows agree, the compared
 words must be the same template words and the slots must be consistent: one value of the item stands for one value in
-the document and the reverse.  An item is found in a document if consistent runs cover ``COVERAGE`` of its words.
+the document and the reverse.  A second table holds the windows of the plain words, case-folded and with nothing replaced,
+whatever they are, so copies in any case are found too.  An item is found in a document if the consistent runs of both
+tables cover ``COVERAGE`` of its words.
 
 The benchmark is taken in blocks of a bounded number of items, each broadcast and matched with all rows; the work per
 document does not depend on how many documents share a passage.
 
 NULL texts, empty texts and items without words match nothing; an item shorter than a window must occur as a whole;
-items or windows with fewer than ``LITERALS`` words outside slots are left out of the table, as any text has them
-(an item consisting of such windows alone cannot be found).  Repeated rows give repeated rows; repeated item ids count
+windows with fewer than ``LITERALS`` words outside slots are left out of the template table, as any text has them, and
+match by their plain words only.  Repeated rows give repeated rows; repeated item ids count
 once; an empty benchmark leaves every document clean.
 """
 
@@ -75,14 +77,25 @@ class TemplateHashes(WordHashes):
         return value
 
 
+class PlainHashes(WordHashes):
+    """Hashes of case-folded words without punctuation by raw word, 0 where a template has no word either."""
+
+    def __missing__(self, word: bytes) -> int:
+        low = _EDGES.sub("", word.decode("utf-8")).casefold()
+        value = WordHashes.__missing__(_PLAIN, low.encode("utf-8")) if any(c.isalnum() for c in low) else 0
+        if len(self) < self.limit:
+            self[word] = value
+        return value
+
+
 _PLAIN = WordHashes(0)
 _SLOT_HASHES = np.array([_PLAIN[s.encode()] for s in SLOTS], np.uint64)
 
 
 class Template:
-    """The template words of a text, with hash, raw word and slot mark of each."""
+    """The template words of a text, with hash, raw word and slot mark of each; plain words have no slots."""
 
-    def __init__(self, text: str, hashes: TemplateHashes):
+    def __init__(self, text: str, hashes: WordHashes):
         self.raw = text.encode("utf-8").split()
         all_hashes = hashes.of(self.raw)
         self.at = np.flatnonzero(all_hashes)
@@ -110,8 +123,8 @@ def _shift(bits: np.ndarray) -> np.uint64:
 class BenchmarkBlock:
     """Hash table of the windows of some items, with a bit filter in front of it."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        hashes = TemplateHashes()
+    def __init__(self, items: list[tuple[int, str]], kind: type[WordHashes] = TemplateHashes):
+        hashes = kind()
         self.items = {i: Template(t, hashes) for i, t in items}
         self.table: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         for i, t in self.items.items():
@@ -127,7 +140,7 @@ class BenchmarkBlock:
             self.filters[width] = np.zeros(1 << bits, bool)
             self.filters[width][(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
 
-    def suspects(self, texts: list[str], hashes: TemplateHashes) -> list[int]:
+    def suspects(self, texts: list[str], hashes: WordHashes) -> list[int]:
         """Positions of the texts with a window whose hash is in the table; all others contain no item."""
         raw = [t.encode("utf-8").split() for t in texts]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -145,6 +158,10 @@ class BenchmarkBlock:
 
     def found(self, doc: Template) -> dict[int, float]:
         """Covered share of every item that has a consistent run in the document."""
+        return {i: len(c) / len(self.items[i].hashes) for i, c in self.covered(doc).items()}
+
+    def covered(self, doc: Template) -> dict[int, set[int]]:
+        """Covered words of every item that has a consistent run in the document."""
         runs: dict[tuple[int, int], set[int]] = defaultdict(set)
         for width, table in self.table.items():
             starts, keys = doc.windows(width)
@@ -156,7 +173,7 @@ class BenchmarkBlock:
         covered: dict[int, set[int]] = defaultdict(set)
         for (item, shift), words in runs.items():
             covered[item] |= self._consistent(self.items[item], doc, shift, sorted(words))
-        return {i: len(c) / len(self.items[i].hashes) for i, c in covered.items() if c}
+        return {i: c for i, c in covered.items() if c}
 
     @staticmethod
     def _consistent(item: Template, doc: Template, shift: int, words: list[int]) -> set[int]:
@@ -197,12 +214,16 @@ def decontaminate(
         shared = df.sparkSession.sparkContext.broadcast([(r.item, r.t) for r in block])
 
         def make(shared=shared):
-            table, hashes = BenchmarkBlock(shared.value), TemplateHashes()
+            tables = [(BenchmarkBlock(shared.value, kind), kind()) for kind in (TemplateHashes, PlainHashes)]
+            n_words = {i: len(t.hashes) for i, t in tables[0][0].items.items()}
 
             def work(texts):
-                found = [{}] * len(texts)
-                for i in table.suspects(texts, hashes):
-                    found[i] = table.found(Template(texts[i], hashes))
+                covered: list[dict[int, set[int]]] = [{} for _ in texts]
+                for table, hashes in tables:
+                    for i in table.suspects(texts, hashes):
+                        for item, words in table.covered(Template(texts[i], hashes)).items():
+                            covered[i].setdefault(item, set()).update(words)
+                found = [{item: len(words) / n_words[item] for item, words in c.items()} for c in covered]
                 return {
                     "items": [sorted(i for i, c in f.items() if c >= coverage) for f in found],
                     "coverage": [max(f.values(), default=0.0) for f in found],

@@ -80,3 +80,18 @@ def test_whole_passages_are_caught(spark):
     assert len(got) == len(docs)
     for d, text in docs.items():
         assert {i for i, t in items.items() if t in text} <= got[d]
+
+
+def test_copies_in_any_case_and_of_slots_alone(spark):
+    items = [ITEM, "12 14 16 18 20 22 24 26 28 30", "Anna Boris Carl Dora Emil Frida Gustav Hanna Ivar", "Anna 3"]
+    texts = [f"some words {case(t)} and more" for t in items[:3] for case in (str, str.lower, str.upper, str.title)]
+    got = found(spark, [*texts, "Boris 5 times", "anna, 3"], items)
+    assert [0 in got[i][0] and got[i][1] == 1.0 for i in range(4)] == [True] * 4
+    assert [got[i][0] for i in range(4, 12)] == [[1]] * 4 + [[2]] * 4
+    assert got[12] == ([], 0.0) and got[13] == ([3], 1.0)
+    folder = "/root/testdata/sf0.1"
+    texts = {r.item_id: r.text for r in corpus(spark, folder, "benchmark").collect()}
+    block, hashes = dc.BenchmarkBlock(list(texts.items()), dc.PlainHashes), dc.PlainHashes()
+    for i, t in texts.items():
+        for case in (str, str.lower, str.upper, str.title):
+            assert block.found(dc.Template(f"x {case(t)} y", hashes))[i] == 1.0
