@@ -2,8 +2,9 @@
 
 Two first-order character models are trained from labelled samples: one on random strings (the values that the patterns
 find in a bounded sample of documents, with strings drawn from the alphabets that keys use), one on the ordinary words
-of the same documents.  A run of key characters is a secret if the mean log-likelihood ratio of its characters says so.
-Pattern findings are never taken back; the models only add spans where no pattern has one.
+of the same documents.  The parts of a run of key characters that no pattern covers are secrets if the mean
+log-likelihood ratio of their characters says so; else their stretches are where the sum of the ratio above the threshold
+is largest, widened to the next of ``/ = _ -`` if they stay above it, of at least ``LEAST`` characters.  Pattern findings are never taken back.
 
 Spans are in code points, ends exclusive.  NULL and empty texts have none; repeated rows give repeated rows; an empty
 table trains on drawn strings and the alphabet alone and gives an empty result.
@@ -31,12 +32,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # 18 characters or more; runs are tak
 HEX = re.compile(r"[0-9a-f]{16,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 16
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 WORD = re.compile(r"[A-Za-z0-9+/_=-]{4,}")
 SAMPLE_DOCUMENTS = 2000
 DRAWN_STRINGS = 4000
 # Mean log-likelihood ratio per character (natural logarithm) from which a run counts as random.
 THRESHOLD = 1.0
+DIVIDERS = "/=_-"
 
 SPANS = ArrayType(
     StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])
@@ -67,9 +70,9 @@ class CharacterModel:
             np.add.at(counts, (np.concatenate([[0], codes[:-1] + 1]), codes), 1)
         return cls(np.log(counts / counts.sum(1, keepdims=True)))
 
-    def score(self, string: str) -> float:
+    def scores(self, string: str) -> np.ndarray:
         codes = np.frombuffer(string.encode("ascii"), np.uint8).astype(np.int64)
-        return float(self.logs[np.concatenate([[0], codes[:-1] + 1]), codes].mean())
+        return self.logs[np.concatenate([[0], codes[:-1] + 1]), codes]
 
 
 @dataclass
@@ -78,17 +81,39 @@ class SecretModels:
     ordinary: CharacterModel
     threshold: float = THRESHOLD
 
-    def ratio(self, string: str) -> float:
-        return self.random.score(string) - self.ordinary.score(string)
+    def random_parts(self, string: str) -> list[tuple[int, int]]:
+        """Begin and end of the random stretches of a run of key characters."""
+        if len(string) < LEAST:
+            return []
+        above = self.random.scores(string) - self.ordinary.scores(string) - self.threshold
+        if above.mean() >= 0:
+            return [(0, len(string))]
+        sums = np.concatenate([[0.0], np.cumsum(above)])
+        gain = sums - np.minimum.accumulate(sums)
+        end = int(gain.argmax())
+        if gain[end] <= 0:
+            return []
+        begin = low = int(sums[:end].argmin())
+        high = end
+        while low and string[low] not in DIVIDERS and string[low - 1] not in DIVIDERS:
+            low -= 1
+        while high < len(string) and string[high - 1] not in DIVIDERS and string[high] not in DIVIDERS:
+            high += 1
+        if sums[high] >= sums[low]:  # else the rest of its word is ordinary
+            begin, end = low, high
+        own = [(begin, end)] if end - begin >= LEAST else []
+        after = [(a + end, b + end) for a, b in self.random_parts(string[end:])]
+        return [*self.random_parts(string[:begin]), *own, *after]
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """All spans by start, then kind."""
         found = base_spans(text)
         covered = [(a, b) for _, a, b in found]
         for m in RUN.finditer(text):
-            a, b = m.span()
-            if not any(x < b and a < y for x, y in covered) and self.ratio(m[0]) >= self.threshold:
-                found.append(("markov", a, b))
+            at, end = m.span()
+            for x, y in [*sorted((x, y) for x, y in covered if x < end and at < y), (end, end)]:
+                found += [("markov", at + a, at + b) for a, b in self.random_parts(text[at : max(at, x)])]
+                at = max(at, y)
         return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
