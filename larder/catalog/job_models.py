@@ -51,6 +51,22 @@ def job_39(t: Tables):
     return out.groupBy("lang").agg(F.count("*").alias("n_docs"), (F.avg(F.coalesce(right, F.lit(0))) > 0.5).alias("mostly_right"))
 
 
+@query("job_39_labels")
+def job_39_labels(t: Tables):
+    """Predictions of the same model for every document: documents of a language and right labels, held-out ones beside."""
+    docs = t.documents.select("doc_id", "lang", clean_tokens("text").alias("tokens"))
+    held = F.coalesce(F.expr("doc_id % 4 = 1"), F.lit(False))
+    model = G.train_text_classifier(docs.where(~held), "tokens", "lang")
+    out = G.predict_labels(model, docs, ["doc_id", "lang"], 0.2)
+    right = F.coalesce((F.get("labels", F.lit(0))["label"] == F.col("lang")).cast("int"), F.lit(0))
+    return out.groupBy("lang").agg(
+        F.count("*").alias("n_docs"),
+        F.sum(right).alias("n_right"),
+        F.count_if(held).alias("n_held_out"),
+        F.avg(F.when(held, right)).alias("held_out_accuracy"),
+    )
+
+
 @query(
     "job_40_sample",
     """SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL

@@ -205,3 +205,14 @@ def test_attribute_outside_the_stated_columns_is_an_error(spark):
     assert pivot_attributes(df, ["k"], "attr", F.max("v")).columns == ["k", "a", "b"]
     with pytest.raises(Exception, match="not among"):
         pivot_attributes(df, ["k"], "attr", F.max("v"), ["a"]).collect()
+
+
+def test_text_labels_cover_every_document(spark):
+    import __spark_entry__ as entry_points
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = {r.lang: r for r in entry_points.queries()["job_39_labels"](spark, folder).collect()}
+    want = {r.lang: (r["n"], r.held) for r in docs.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.expr("doc_id % 4 = 1")).alias("held")).collect()}
+    assert {k: (r.n_docs, r.n_held_out) for k, r in got.items()} == want
+    assert all(r.n_right > 0.8 * r.n_docs and r.held_out_accuracy >= 0.8 for r in got.values())
