@@ -13,8 +13,8 @@ document does not depend on how many documents share a passage.
 
 NULL texts, empty texts and items without words match nothing; an item shorter than a window must occur as a whole;
 windows with fewer than ``LITERALS`` words outside slots are left out of the template table, as any text has them, and
-match by their plain words only.  Repeated rows give repeated rows; repeated item ids count
-once; an empty benchmark leaves every document clean.
+match by their plain words only.  Repeated rows give repeated rows; an item id may stand for several texts and counts
+once; texts without an id count as one item NULL, last in the list; an empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
@@ -203,18 +203,21 @@ def decontaminate(
 ) -> DataFrame:
     """Id, ``items`` (ids of the benchmark items found, ascending) and ``coverage`` (the largest covered share)."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item"), F.col("text").cast("string").alias("t")).where(
-        "item is not null and t is not null"
+        "t is not null"
     )
-    items = items.groupBy("item").agg(F.min("t").alias("t"))
+    items = items.distinct()
     blocks = max(1, math.ceil(items.count() / items_per_block))
     fields = [StructField("items", ArrayType(LongType())), StructField("coverage", DoubleType())]
     out, kept = df, list(keep)
     for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()
+        block = items.where(F.pmod(F.xxhash64("item", "t"), F.lit(blocks)) == b).collect()
         shared = df.sparkSession.sparkContext.broadcast([(r.item, r.t) for r in block])
 
         def make(shared=shared):
-            tables = [(BenchmarkBlock(shared.value, kind), kind()) for kind in (TemplateHashes, PlainHashes)]
+            # Texts are matched by their number, as one id may stand for several and some have none.
+            ids = [i for i, _ in shared.value]
+            texts_of_block = list(enumerate(t for _, t in shared.value))
+            tables = [(BenchmarkBlock(texts_of_block, kind), kind()) for kind in (TemplateHashes, PlainHashes)]
             n_words = {i: len(t.hashes) for i, t in tables[0][0].items.items()}
 
             def work(texts):
@@ -225,7 +228,7 @@ def decontaminate(
                             covered[i].setdefault(item, set()).update(words)
                 found = [{item: len(words) / n_words[item] for item, words in c.items()} for c in covered]
                 return {
-                    "items": [sorted(i for i, c in f.items() if c >= coverage) for f in found],
+                    "items": [sorted({ids[i] for i, c in f.items() if c >= coverage}, key=lambda i: (i is None, i or 0)) for f in found],
                     "coverage": [max(f.values(), default=0.0) for f in found],
                 }
 
@@ -237,7 +240,7 @@ def decontaminate(
         step = per_document(out, make, fields, id_col, text_col, [*kept, *before, *[c for c in carry if c not in kept]])
         if b:
             step = step.withColumns(
-                {"items": F.array_sort(F.concat("found", "items")), "coverage": F.greatest("share", "coverage")}
+                {"items": F.array_sort(F.array_distinct(F.concat("found", "items"))), "coverage": F.greatest("share", "coverage")}
             ).drop("found", "share")
         out = step if b + 1 == blocks else step.withColumnsRenamed({"items": "found", "coverage": "share"})
     return out

@@ -95,3 +95,12 @@ def test_copies_in_any_case_and_of_slots_alone(spark):
     for i, t in texts.items():
         for case in (str, str.lower, str.upper, str.title):
             assert block.found(dc.Template(f"x {case(t)} y", hashes))[i] == 1.0
+
+
+def test_one_id_with_several_texts_and_texts_without_id(spark):
+    rows = [(0, "the quick brown fox"), (0, "a lazy dog slept there"), (None, "unrelated words stand over here now"), (None, "no id here either")]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    docs = spark.createDataFrame([*enumerate(t for _, t in rows), (4, " and ".join(t for _, t in rows))], "doc_id long, text string")
+    for size in (1, 100):
+        got = {r.doc_id: r["items"] for r in dc.decontaminate(docs, bench, items_per_block=size).collect()}
+        assert got == {0: [0], 1: [0], 2: [None], 3: [None], 4: [0, None]}
