@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -170,11 +171,10 @@ def word_counts(texts: DataFrame, seed: int) -> DataFrame:
         held: dict[str, Counter] = {}
 
         def rows():
-            flat = [(symbol_of(lang.encode("utf-8"), w, seed).to_bytes(8, "little"), lang, w, n) for lang, c in held.items() for w, n in c.items()]
-            held.clear()
-            for lo in range(0, len(flat), 1 << 16):
-                part = list(zip(*flat[lo : lo + (1 << 16)]))
+            flat = ((symbol_of(lang.encode("utf-8"), w, seed).to_bytes(8, "little"), lang, w, n) for lang, c in held.items() for w, n in c.items())
+            while part := list(zip(*islice(flat, 1 << 15))):
                 yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.binary()), pa.array(part[1], pa.string()), pa.array(part[2], pa.binary()), pa.array(part[3], pa.int64())], names=["symbol", "lang", "word", "f"])
+            held.clear()
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -214,11 +214,11 @@ def pair_counts(texts: DataFrame, table, seed: int, least: int, share: int, buck
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
             n = np.diff(first, append=len(key))
             s1, s2 = symbols[key[first] >> 32], symbols[key[first] & 0xFFFFFFFF]
-            rows = [(*r, None, None, None) for r in split(buckets, prefix_hash([s1, s2]), s1, s2, n.astype(np.int64))]
+            rows = [(*r, None, None, None) for r in split(buckets, prefix_hash([s1, s2]), s1, s2, n.astype("<u4"))]
             # Heavy prefixes of the chunk; a deeper one is looked for at the places of a heavy shorter one only.
             limit = len(codes) / share
             heavy = n >= limit
-            rows += [(None, None, None, None, p, 2, c) for p, c in zip(_binary([s1[heavy], s2[heavy]]), n[heavy].tolist())]
+            rows += _heavy([s1[heavy], s2[heavy]], n[heavy], buckets)
             places = both[order][np.repeat(heavy, n)]
             for depth in (3, 4):
                 places = places[places + depth - 1 < len(codes)]
@@ -226,7 +226,7 @@ def pair_counts(texts: DataFrame, table, seed: int, least: int, share: int, buck
                 columns = [symbols[codes[places + d]] for d in range(depth)]
                 sort, start, count = _runs(columns)
                 heavy = count >= limit
-                rows += [(None, None, None, None, p, depth, c) for p, c in zip(_binary([c[sort[start[heavy]]] for c in columns]), count[heavy].tolist())]
+                rows += _heavy([c[sort[start[heavy]]] for c in columns], count[heavy], buckets)
                 places = places[sort][np.repeat(heavy, count)]
             cols = list(zip(*rows)) or [()] * 7
             kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int64()]
@@ -234,18 +234,30 @@ def pair_counts(texts: DataFrame, table, seed: int, least: int, share: int, buck
 
     def summed(frames):
         for _, rows in by_bucket(frames):
+            whole = rows["prefix"].isna()
+            held = rows[~whole].groupby(["prefix", "depth"], as_index=False)["held"].sum()
+            if len(held):
+                yield pd.DataFrame({"phrase": held["prefix"], "depth": held["depth"], "f": held["held"], "hash": None})
+            rows = rows[whole]
+            if len(rows) == 0:
+                continue
             s1, s2 = (np.frombuffer(b"".join(rows[c]), "<u8") for c in ("s1", "s2"))
-            n = np.frombuffer(b"".join(rows["n"]), "<i8")
+            n = np.frombuffer(b"".join(rows["n"]), "<u4").astype(np.int64)
             sort, start, _ = _runs([s1, s2])
             total = np.add.reduceat(n[sort], start)
             kept = total >= least
             a, b = s1[sort[start[kept]]], s2[sort[start[kept]]]
             yield pd.DataFrame({"phrase": _binary([a, b]), "depth": 2, "f": total[kept], "hash": _binary([prefix_hash([a, b])])})
 
-    raw = stored(texts.mapInArrow(local, _PACKED_PAIRS), "phrase-pairs-raw")
-    pairs = gathered(raw.where("bucket is not null").select("bucket", "s1", "s2", "n")).mapInPandas(summed, "phrase binary, depth int, f long, hash binary")
-    heavy = raw.where("bucket is null").groupBy(F.col("prefix").alias("phrase"), "depth").agg(F.sum("held").alias("f"))
-    return stored(pairs, "phrase-pairs"), heavy
+    packed = texts.mapInArrow(local, _PACKED_PAIRS)
+    both = stored(gathered(packed).mapInPandas(summed, "phrase binary, depth int, f long, hash binary"), "phrase-pairs")
+    return both.where("hash is not null"), both.where("hash is null").drop("hash")
+
+
+def _heavy(columns: list[np.ndarray], n: np.ndarray, buckets: int) -> list[tuple]:
+    """Rows of prefixes, dealt out like the pairs."""
+    to = (prefix_hash(columns) % np.uint64(buckets)).tolist()
+    return [(b, None, None, None, p, len(columns), c) for b, p, c in zip(to, _binary(columns), n.tolist())]
 
 
 def _runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -288,7 +300,7 @@ def suffixes(texts: DataFrame, table, pairs, hot, seed: int, buckets: int, words
                     new[1:] |= c[sort][1:] != c[sort][:-1]
             first = np.flatnonzero(new)
             columns = [c[sort[first]] for c in columns]
-            n = np.diff(first, append=len(sort)).astype(np.int64)
+            n = np.diff(first, append=len(sort)).astype("<u4")
             depth, deeper = np.full(len(n), 2), np.ones(len(n), bool)
             route = prefix_hash(columns[:2])
             for d in range(2, words):
@@ -347,7 +359,7 @@ def longer_counts(packed: DataFrame, least: int, words: int = WORDS) -> DataFram
     def sort(frames):
         for bucket, rows in by_bucket(frames):
             columns = [np.frombuffer(b"".join(rows[c]), "<u8") for c in names]
-            weights = np.frombuffer(b"".join(rows["n"]), "<i8")
+            weights = np.frombuffer(b"".join(rows["n"]), "<u4").astype(np.int64)
             length, sample, count = partition_counts(columns, weights, least, int(bucket) % 8)
             out = [(length == d, d) for d in range(3, words + 1)]
             phrases = [p for at, d in out for p in _binary([c[sample[at]] for c in columns[:d]])]
