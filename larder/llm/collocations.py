@@ -73,7 +73,7 @@ class Coder:
     """Codes of words in a task: 0 for stops and words that are not in the bit table."""
 
     def __init__(self, table: np.ndarray, seed: int):
-        self.table, self.seed = table, seed
+        self.table, self.last, self.seed = memoryview(table), len(table) * 8 - 1, seed
         self.clear()
 
     def clear(self) -> None:
@@ -96,11 +96,12 @@ class _Codes(dict):
         self.coder, self.lang = coder, lang
 
     def __missing__(self, word: bytes) -> int:
-        symbol = symbol_of(self.lang, word, self.coder.seed)
-        code = 0
-        if in_table(self.coder.table, np.array([symbol], np.uint64))[0]:
-            code = len(self.coder.symbols)
-            self.coder.symbols.append(symbol)
+        coder = self.coder
+        symbol = symbol_of(self.lang, word, coder.seed)
+        at, code = symbol & coder.last, 0
+        if coder.table[at >> 3] >> (at & 7) & 1:
+            code = len(coder.symbols)
+            coder.symbols.append(symbol)
         self[word] = code
         return code
 
@@ -209,17 +210,16 @@ def pair_counts(texts: DataFrame, table, seed: int, least: int, share: int, buck
         for codes, symbols in chunks(batches, table.value, seed, size):
             both = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
             key = codes[both].astype(np.int64) << 32 | codes[both + 1]
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
-            n = np.diff(first, append=len(key))
-            s1, s2 = symbols[key[first] >> 32], symbols[key[first] & 0xFFFFFFFF]
+            sort = np.sort(key)
+            first = np.flatnonzero(np.concatenate([[True], sort[1:] != sort[:-1]])) if len(sort) else sort
+            n = np.diff(first, append=len(sort))
+            s1, s2 = symbols[sort[first] >> 32], symbols[sort[first] & 0xFFFFFFFF]
             rows = [(*r, None, None, None) for r in split(buckets, prefix_hash([s1, s2]), s1, s2, n.astype("<u4"))]
             # Heavy prefixes of the chunk; a deeper one is looked for at the places of a heavy shorter one only.
             limit = len(codes) / share
             heavy = n >= limit
             rows += _heavy([s1[heavy], s2[heavy]], n[heavy], buckets)
-            places = both[order][np.repeat(heavy, n)]
+            places = both[np.isin(key, sort[first[heavy]])]
             for depth in (3, 4):
                 places = places[places + depth - 1 < len(codes)]
                 places = places[codes[places + depth - 1] > 0]
@@ -292,7 +292,7 @@ def suffixes(texts: DataFrame, table, pairs, hot, seed: int, buckets: int, words
                 ok = runs[d - 1][start]
                 columns.append(np.where(ok, at[np.minimum(start + d, len(at) - 1)], np.uint64(0)))
             key = prefix_hash(columns)
-            sort = np.argsort(key, kind="stable")
+            sort = np.argsort(key)
             new = np.ones(len(sort), bool)
             if len(sort):
                 new[1:] = key[sort][1:] != key[sort][:-1]
