@@ -60,7 +60,7 @@ def dq_03(t: Tables):
     SELECT event_id, a AS rn_valid_from, b AS rn_valid_to FROM r WHERE a <> b""",
 )
 def dq_04(t: Tables):
-    bad = D.check_rank_consistent(spans(t), ["user_id"], {"valid_from": "day", "valid_to": "day"}, ["event_id"])
+    bad = D.check_rank_consistent(spans(t), ["user_id"], ["valid_from", "valid_to"], ["event_id"])
     return bad.select("event_id", "rn_valid_from", "rn_valid_to")
 
 

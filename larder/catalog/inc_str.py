@@ -95,7 +95,7 @@ def inc_05(t: Tables):
 )
 def inc_06(t: Tables):
     ev = t.events.select("event_id", "user_id", F.trunc(F.to_date("ts"), "week").alias("week"), "ts")
-    return I.version_outputs(ev, ["user_id", "week"], "ts", ["event_id"], chunk="auto").select(
+    return I.version_outputs(ev, ["user_id", "week"], "ts", ["event_id"]).select(
         "event_id", "version", "is_most_recent"
     )
 

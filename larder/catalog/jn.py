@@ -108,7 +108,7 @@ def _facts(t: Tables):
 )
 def jn_08(t: Tables):
     later = _facts(t).withColumn("ts", F.expr("ts + interval 7 hours"))  # the state may have changed since the purchase
-    return J.as_of_validity(later, islands(t), ["user_id"], "ts", chunk="day").select("event_id", "state")
+    return J.as_of_validity(later, islands(t), ["user_id"], "ts").select("event_id", "state")
 
 
 @query(
@@ -117,7 +117,7 @@ def jn_08(t: Tables):
     ON e.user_id = i.user_id AND e.ts >= i.valid_from AND e.ts <= i.valid_to WHERE e.event_type = 'purchase'""",
 )
 def jn_09(t: Tables):
-    return J.as_of_validity(_facts(t), islands(t), ["user_id"], "ts", closed="both", chunk="day").select(
+    return J.as_of_validity(_facts(t), islands(t), ["user_id"], "ts", closed="both").select(
         "event_id", "state"
     )
 
@@ -179,7 +179,7 @@ def jn_11(t: Tables):
         .select("l_partkey", F.to_date("o_orderdate").alias("order_date"))
         .distinct()
     )
-    hit = J.as_of(wanted, prices, ["l_partkey"], "order_date", "d", "m", chunk="year")
+    hit = J.as_of(wanted, prices, ["l_partkey"], "order_date", "d", "m")
     return hit.select("l_partkey", "order_date", F.round("m.price", 9).alias("price"))
 
 
@@ -193,7 +193,7 @@ def jn_11(t: Tables):
 )
 def jn_12(t: Tables):
     feats = t.events.where("event_type = 'view'").select("user_id", F.col("ts").alias("fts"), "value")
-    return J.point_in_time(_facts(t), feats, ["user_id"], "ts", "fts", "2 days", chunk="day").select(
+    return J.point_in_time(_facts(t), feats, ["user_id"], "ts", "fts", "2 days").select(
         "event_id", "value", "fts"
     )
 
@@ -237,7 +237,7 @@ def jn_14(t: Tables):
     LEFT JOIN islands b ON a.user_id = b.user_id AND a.valid_from = b.valid_to""",
 )
 def jn_15(t: Tables):
-    return J.previous_version(islands(t), ["user_id"], ["state"], chunk="day").select(
+    return J.previous_version(islands(t), ["user_id"], ["state"]).select(
         "user_id", "valid_from", "state", "previous_state"
     )
 
@@ -250,10 +250,10 @@ def jn_15(t: Tables):
     ON a.o_custkey = b.o_custkey AND b.n = a.n + 1""",
 )
 def jn_16(t: Tables):
-    numbered = row_numbers(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "n", chunk="year").select(
+    numbered = row_numbers(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "n").select(
         "o_custkey", "n", F.to_date("o_orderdate").alias("day")
     )
-    return J.next_row(numbered, ["o_custkey"], "n", ["day"], chunk=1_000_000)
+    return J.next_row(numbered, ["o_custkey"], "n", ["day"])
 
 
 @query(

@@ -45,7 +45,7 @@ def order_lines(t: Tables):
 def job_06(t: Tables):
     lines = order_lines(t).withColumn("amount", F.round("amount", 6))
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    o = neighbour(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"prev": "o_orderkey"}, chunk="year")
+    o = neighbour(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"prev": "o_orderkey"})
     before = o.where("prev is not null").select(F.col("o_orderkey").alias("order"), "prev")
     plan = before.join(lines.select(F.col("order").alias("prev"), "item", F.col("quantity").alias("planned_quantity")), "prev")
     heads = t.orders.select(
@@ -314,7 +314,7 @@ def job_12(t: Tables):
     placed = t.orders.select(F.col("o_custkey").alias("customer"), F.to_date("o_orderdate").alias("day")).distinct()
     snaps = placed.select("customer", F.last_day("day").alias("snapshot_date")).distinct()
     snaps = snaps.withColumn("known", F.date_sub("snapshot_date", 10))
-    hit = as_of(snaps, placed, ["customer"], "known", "day", "m", chunk="year")
+    hit = as_of(snaps, placed, ["customer"], "known", "day", "m")
     weekly = hit.select("customer", "snapshot_date", weeks_between(F.col("snapshot_date"), F.col("m.day")).alias("weeks"))
     out = churn.label_and_split(weekly, "customer", "snapshot_date", "weeks", 2, 199601, 8)
     return out.select("customer", "snapshot_date", "label", "part")

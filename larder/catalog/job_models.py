@@ -165,7 +165,7 @@ def job_42_welch(t: Tables):
     / sqrt(n1 * (n - n1) / 12.0 * (n + 1 - ties / (n * (n - 1.0)))), 6)::DOUBLE AS z FROM s""",
 )
 def job_42_ranks(t: Tables):
-    out = X.mann_whitney(t.events, F.col("user_id") % 2 == 0, "value", 10.0)
+    out = X.mann_whitney(t.events, F.col("user_id") % 2 == 0, "value")
     return out.select(F.round("u_statistic", 1).alias("u_statistic"), F.round("z", 6).alias("z"))
 
 

@@ -14,7 +14,7 @@ FUT = "TIMESTAMP '9999-12-31 00:00:00'"
 def states(t: Tables):
     """Event types as consecutive states of a user."""
     ev = t.events.select("user_id", "event_id", F.col("ts").alias("valid_from"), F.col("event_type").alias("state"))
-    return scd.with_valid_to(ev, ["user_id"], "valid_from", ["event_id"], chunk="day")
+    return scd.with_valid_to(ev, ["user_id"], "valid_from", ["event_id"])
 
 
 STATES = f"""states AS (SELECT user_id, event_id, ts AS valid_from, event_type AS state,
@@ -28,7 +28,7 @@ islands AS (SELECT user_id, state, min(valid_from) AS valid_from, max(valid_to)
 
 def islands(t: Tables):
     ev = t.events.select("user_id", "event_id", "ts", F.col("event_type").alias("state"))
-    return scd.state_islands(ev, ["user_id"], "ts", "state", ["event_id"], chunk="day")
+    return scd.state_islands(ev, ["user_id"], "ts", "state", ["event_id"])
 
 
 @query(
@@ -42,7 +42,7 @@ def entry(t: Tables):
     """Purchases by month and the status their customer held right before."""
     facts = t.events.where("event_type = 'purchase'").select("user_id", "ts", "value")
     held = joins.as_of(
-        facts, islands(t), ["user_id"], "ts", "valid_from", "m", chunk="day", strict=True
+        facts, islands(t), ["user_id"], "ts", "valid_from", "m", strict=True
     ).where("m is not null and ts <= m.valid_to")
     return held.groupBy(F.date_format("ts", "yyyy-MM").alias("month"), F.col("m.state").alias("status")).agg(
         F.count("*").alias("purchases"), F.round(F.sum("value"), 4).alias("value")
@@ -61,7 +61,7 @@ def _three(t: Tables):
         rows = ev.where(F.col("event_type") == kind).select(
             "user_id", F.col("ts").alias("valid_from"), F.col("value").alias(f"{name}_value")
         )
-        out[name] = scd.with_valid_to(rows, ["user_id"], "valid_from", chunk="day")
+        out[name] = scd.with_valid_to(rows, ["user_id"], "valid_from")
     # Table c closes after two days at the latest, so that gaps occur.
     out["c"] = out["c"].withColumn(
         "valid_to", F.least("valid_to", F.expr("valid_from + interval 2 days"))
@@ -96,7 +96,7 @@ _THREE = ", ".join(
     LEFT JOIN c ON tl.user_id = c.user_id AND tl.valid_from >= c.valid_from AND tl.valid_to <= c.valid_to""",
 )
 def scd_02(t: Tables):
-    return scd.join_scd2("user_id", _three(t), chunk="day")
+    return scd.join_scd2("user_id", _three(t))
 
 
 @query(
@@ -110,12 +110,12 @@ def scd_02(t: Tables):
 )
 def scd_03(t: Tables):
     three = _three(t)
-    return scd.join_snapshots(three["a"], three["c"], "user_id", "c_value", chunk="day")
+    return scd.join_snapshots(three["a"], three["c"], "user_id", "c_value")
 
 
 @query("scd_04", f"WITH {ISLANDS} SELECT * FROM islands")
 def scd_04(t: Tables):
-    return scd.merge_islands(states(t), ["user_id"], ["state"], ["event_id"], chunk="day")
+    return scd.merge_islands(states(t), ["user_id"], ["state"], ["event_id"])
 
 
 @query("scd_04_events", f"WITH {ISLANDS} SELECT * FROM islands")
@@ -136,7 +136,7 @@ def _links(t: Tables):
         "event_id",
         (F.col("value") % 2 < 1).alias("linked"),
     )
-    nxt = scd.with_valid_to(ev, ["user_id", "state"], "valid_from", ["event_id"], chunk="day", out="next")
+    nxt = scd.with_valid_to(ev, ["user_id", "state"], "valid_from", ["event_id"], out="next")
     return nxt.where(~F.col("linked") | (F.col("next") < F.expr("timestamp_ntz'9999-01-01 00:00:00'"))).select(
         "user_id",
         "state",
@@ -155,7 +155,7 @@ def _links(t: Tables):
     GROUP BY user_id, state, isl""",
 )
 def scd_05(t: Tables):
-    return scd.merge_contiguous(_links(t), ["user_id"], ["state"], chunk="day")
+    return scd.merge_contiguous(_links(t), ["user_id"], ["state"])
 
 
 @query(
@@ -165,7 +165,7 @@ def scd_05(t: Tables):
 )
 def scd_06(t: Tables):
     ev = t.events.select("user_id", "event_id", "ts", "event_type")
-    return scd.changes_only(ev, ["user_id"], "event_type", "ts", ["event_id"], chunk="auto")
+    return scd.changes_only(ev, ["user_id"], "event_type", "ts", ["event_id"])
 
 
 @query(
@@ -209,7 +209,7 @@ def scd_09(t: Tables):
         (F.col("event_id") % 3 == 0).alias("weak"),
     )
     out = scd.resolve_weak_source(
-        ev, ["user_id"], ["ts", "event_id"], "product", "variation", F.col("weak"), chunk="auto"
+        ev, ["user_id"], ["ts", "event_id"], "product", "variation", F.col("weak")
     )
     return out.select("event_id", "resolved")
 
@@ -232,7 +232,7 @@ def scd_10(t: Tables):
     FROM v""",
 )
 def scd_11(t: Tables):
-    return scd.version_diff(islands(t), ["user_id"], ["state"], chunk="day")
+    return scd.version_diff(islands(t), ["user_id"], ["state"])
 
 
 _SNAP = f"""snap AS (SELECT c_custkey, c_mktsegment, c_acctbal, TIMESTAMP '2024-01-01' AS updated_at,
@@ -337,7 +337,7 @@ def spans(t: Tables):
     WHERE latest_end_before > valid_from""",
 )
 def scd_16(t: Tables):
-    return scd.overlaps(spans(t), ["user_id"], ["event_id"], chunk="day")
+    return scd.overlaps(spans(t), ["user_id"], ["event_id"])
 
 
 @query(

@@ -19,8 +19,7 @@ from larder.operators import windows as W
 def win_01(t: Tables):
     prio = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3)
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", prio.alias("prio"))
-    chunk = F.struct(F.col("prio").alias("p"), F.trunc(F.to_date("o_orderdate"), "year").alias("y"))
-    return W.rank_rows(o, ["o_custkey"], ["prio", "o_orderdate", "o_orderkey"], chunk).select("o_orderkey", "rn")
+    return W.rank_rows(o, ["o_custkey"], ["prio", "o_orderdate", "o_orderkey"]).select("o_orderkey", "rn")
 
 
 @query(
@@ -30,7 +29,7 @@ def win_01(t: Tables):
 )
 def win_02(t: Tables):
     ev = t.events.select("event_id", "user_id", F.date_trunc("hour", "ts").alias("hour"))
-    return W.version_rank(ev, ["user_id"], "hour", chunk="auto").select("event_id", "version", "version_desc")
+    return W.version_rank(ev, ["user_id"], "hour").select("event_id", "version", "version_desc")
 
 
 @query(
@@ -40,7 +39,7 @@ def win_02(t: Tables):
 )
 def win_03(t: Tables):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    return W.lag_cols(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_totalprice"], "auto").select(
+    return W.lag_cols(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_totalprice"]).select(
         "o_orderkey", "previous_o_totalprice"
     )
 
@@ -52,7 +51,7 @@ def win_03(t: Tables):
 )
 def win_04(t: Tables):
     ev = t.events.select("event_id", "user_id", "ts")
-    return W.lead_or(ev, ["user_id"], ["ts", "event_id"], "ts", future(), "auto").select("event_id", "next_ts")
+    return W.lead_or(ev, ["user_id"], ["ts", "event_id"], "ts", future()).select("event_id", "next_ts")
 
 
 @query(
@@ -64,7 +63,7 @@ def win_04(t: Tables):
 def win_05(t: Tables):
     spent = F.when(F.col("event_type") == "purchase", F.col("value"))
     ev = t.events.select("event_id", "user_id", "ts", spent.alias("spent"))
-    return W.ffill(ev, ["user_id"], ["ts", "event_id"], "spent", "auto").select("event_id", "spent_filled")
+    return W.ffill(ev, ["user_id"], ["ts", "event_id"], "spent").select("event_id", "spent_filled")
 
 
 @query(
@@ -75,7 +74,7 @@ def win_05(t: Tables):
 )
 def win_06(t: Tables):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    r = W.running_totals(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "auto")
+    r = W.running_totals(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice")
     return r.select("o_orderkey", "running_count", F.round("running_sum", 2).alias("running_sum"))
 
 

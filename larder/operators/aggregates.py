@@ -253,8 +253,8 @@ def allocate(df: DataFrame, parent: Sequence[str], amount: str, weight: Column,
     return t.withColumn(out, F.col(amount) * share).drop("__w", "__total", "__n")
 
 
-def minmax_rank(df: DataFrame, item: str, score: str, width: float = 1.0) -> DataFrame:
-    """Items ordered by their largest, then smallest score, then id; positions count over score chunks of ``width``."""
+def minmax_rank(df: DataFrame, item: str, score: str) -> DataFrame:
+    """Items ordered by their largest, then smallest score, then id, with their position over all items."""
     per_item = df.groupBy(item).agg(F.min(score).alias("min_score"), F.max(score).alias("max_score"))
     order = ["max_score", "min_score", item]
-    return row_numbers(per_item, [], order, "position", chunk=width)
+    return row_numbers(per_item, [], order, "position")

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.operators.chunked import Chunk, row_numbers, with_totals
+from larder.operators.chunked import row_numbers, with_totals
 from larder.sources import sinks
 
 
@@ -74,9 +74,9 @@ def flag_most_recent(
     return with_totals(df, keys, __max=F.max(order)).withColumn(out, order == F.col("__max")).drop("__max")
 
 
-def version_outputs(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], chunk: Chunk = "month") -> DataFrame:
+def version_outputs(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str]) -> DataFrame:
     """Number the outputs of a key in time order and mark the newest."""
-    numbered = row_numbers(df, keys, [ts, *tie], "version", chunk)
+    numbered = row_numbers(df, keys, [ts, *tie], "version")
     flagged = flag_most_recent(numbered, keys, ts, tie, "__newest")
     return flagged.withColumn("is_most_recent", F.col("__newest").cast("int")).drop("__newest")
 

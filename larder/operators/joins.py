@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.chunked import Chunk, fill_down, neighbour
+from larder.operators.chunked import fill_down, neighbour
 
 
 def left_join(a: DataFrame, b: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
@@ -70,13 +70,12 @@ def as_of(
     right_ts: str,
     out: str = "matched",
     tie: str | None = None,
-    chunk: Chunk = "month",
     strict: bool = False,
 ) -> DataFrame:
     """Attach the newest right row with ``right_ts <= left_ts`` as a struct (NULL if there is none).
 
     Both sides are unioned in time order and the last right row is carried
-    forward, chunk by chunk: cost is one ordered pass over the rows of both
+    forward: cost is one ordered pass over the rows of both
     sides, however they spread over the keys.  ``strict`` asks for ``<``.
     ``tie`` orders right rows of one instant.
     """
@@ -86,6 +85,7 @@ def as_of(
         F.col(left_ts).alias("__ts"),
         F.lit(0 if strict else 2).alias("__side"),
         F.struct(*left.columns).alias("__left"),
+        F.xxhash64(*left.columns).alias("__spread"),
         F.lit(True).alias("__is_left"),
     )
     cols = [c for c in right.columns if c not in key]
@@ -98,8 +98,9 @@ def as_of(
         F.lit(False).alias("__is_left"),
     )
     both = lrow.unionByName(rrow, allowMissingColumns=True)
-    order = ["__ts", "__side"] + (["__tie"] if tie else [])
-    filled = fill_down(both, key, order, {"__m": F.col("__right")}, chunk).where("__is_left")
+    # Left rows of one instant may be parted anywhere: all of them see the same right row.
+    order = ["__ts", "__side"] + (["__tie"] if tie else []) + ["__spread"]
+    filled = fill_down(both, key, order, {"__m": F.col("__right")}).where("__is_left")
     known = F.lit(True)
     for k in key:
         known = known & F.col(k).isNotNull()
@@ -115,7 +116,6 @@ def as_of_validity(
     to: str = "valid_to",
     closed: str = "left",
     how: str = "left",
-    chunk: Chunk = "month",
 ) -> DataFrame:
     """Attach the dimension version that is valid at ``ts``.
 
@@ -125,7 +125,7 @@ def as_of_validity(
     """
     cols = [c for c in dim.columns if c not in key]
     versions = dim.where(F.col(from_) < F.col(to))
-    hit = as_of(fact, versions, key, ts, from_, "__d", chunk=chunk)
+    hit = as_of(fact, versions, key, ts, from_, "__d")
     hit = hit.withColumn("__d", F.when(F.col(ts) < F.col(f"__d.{to}"), F.col("__d")))
     if closed == "both":
         ends = dim.groupBy(*key, F.col(to).cast(fact.schema[ts].dataType).alias("__end")).agg(
@@ -181,11 +181,10 @@ def point_in_time(
     feature_ts: str,
     lookback: str | None = None,
     tie: str | None = None,
-    chunk: Chunk = "month",
 ) -> DataFrame:
     """Newest feature row at or before the entity time, at most ``lookback`` old (e.g. ``"7 days"``)."""
     cols = [c for c in feats.columns if c not in keys and c != tie]
-    hit = as_of(entities, feats, keys, entity_ts, feature_ts, "__f", tie, chunk)
+    hit = as_of(entities, feats, keys, entity_ts, feature_ts, "__f", tie)
     fresh = F.lit(True)
     if lookback:
         fresh = F.col(f"__f.{feature_ts}") >= F.col(entity_ts) - F.expr(f"interval {lookback}")
@@ -222,20 +221,20 @@ def trailing_periods(targets: DataFrame, history: DataFrame, keys: Sequence[str]
     return targets.join(served, [*keys, seq], "left")
 
 
-def previous_version(scd: DataFrame, key: Sequence[str], cols: Sequence[str], chunk: Chunk = "month") -> DataFrame:
+def previous_version(scd: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Values of the version that ends where this one starts, as ``previous_<col>``."""
     look = {f"previous_{c}": c for c in cols} | {"__prev_to": "valid_to"}
-    out = neighbour(scd, key, ["valid_from"], look, chunk)
+    out = neighbour(scd, key, ["valid_from"], look)
     touches = F.col("__prev_to") == F.col("valid_from")
     for c in cols:
         out = out.withColumn(f"previous_{c}", F.when(touches, F.col(f"previous_{c}")))
     return out.drop("__prev_to")
 
 
-def next_row(df: DataFrame, part: Sequence[str], seq: str, cols: Sequence[str], chunk: Chunk) -> DataFrame:
+def next_row(df: DataFrame, part: Sequence[str], seq: str, cols: Sequence[str]) -> DataFrame:
     """Values of the row numbered one higher, as ``next_<col>``."""
     look = {f"next_{c}": c for c in cols} | {"__next_seq": seq}
-    out = neighbour(df, part, [seq], look, chunk, forward=True)
+    out = neighbour(df, part, [seq], look, forward=True)
     adjacent = F.col("__next_seq") == F.col(seq) + 1
     for c in cols:
         out = out.withColumn(f"next_{c}", F.when(adjacent, F.col(f"next_{c}")))

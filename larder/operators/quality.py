@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.aggregates import repetition
-from larder.operators.chunked import Chunk, row_numbers
+from larder.operators.chunked import row_numbers
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,11 +43,11 @@ def check_equal(df: DataFrame, a: str, b: str, where: Column | str = "true") ->
     return df.where(where).where(~F.col(a).eqNullSafe(F.col(b)))
 
 
-def check_rank_consistent(df: DataFrame, key: Sequence[str], cols: Mapping[str, Chunk], tie: Sequence[str]) -> DataFrame:
-    """Rows whose position in their group differs between the order columns (mapped to their chunking)."""
+def check_rank_consistent(df: DataFrame, key: Sequence[str], cols: Sequence[str], tie: Sequence[str]) -> DataFrame:
+    """Rows whose position in their group differs between the order columns."""
     out = df
-    for c, chunk in cols.items():
-        out = row_numbers(out, key, [c, *tie], f"rn_{c}", chunk)
+    for c in cols:
+        out = row_numbers(out, key, [c, *tie], f"rn_{c}")
     first, *rest = [f"rn_{c}" for c in cols]
     differs = F.lit(False)
     for r in rest:

@@ -1,7 +1,7 @@
 """Slowly-changing timelines: rows of an entity valid in ``[valid_from, valid_to)``.
 
-All per-entity ordering goes through :mod:`larder.operators.chunked`, so one
-entity with a very long history is spread over its time chunks.
+All per-entity ordering goes through :mod:`larder.operators.chunked`, so an
+entity with a very long history is spread over chunks of measured size.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from larder.operators.chunked import Chunk, cut, fill_down, neighbour, running
 
 
 def with_valid_to(
-    df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str] = (), chunk: Chunk = "month", out: str = "valid_to"
+    df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str] = (), chunk: Chunk | None = None, out: str = "valid_to"
 ) -> DataFrame:
     """End each row where the key's next row starts; the last one is open.
 
@@ -26,7 +26,7 @@ def with_valid_to(
     return nxt.withColumn(out, F.coalesce(out, future().cast(df.schema[ts].dataType)))
 
 
-def join_scd2(key: str, tables: Mapping[str, DataFrame], chunk: Chunk = "month") -> DataFrame:
+def join_scd2(key: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """N-way timeline join.
 
     The slots are cut at every ``valid_from`` of any table.  A table gives its
@@ -44,9 +44,9 @@ def join_scd2(key: str, tables: Mapping[str, DataFrame], chunk: Chunk = "month")
         points = points.unionByName(p, allowMissingColumns=True)
     structs = [f"__{n}" for n in tables]
     slots = points.groupBy(key, "valid_from").agg(*[F.max(s).alias(s) for s in structs])
-    slots = cut(slots, [key], "valid_from", chunk).withColumnRenamed("__chunk", "__cut")
-    timeline = with_valid_to(slots, [key], "valid_from", chunk=F.col("__cut"))
-    filled = fill_down(timeline, [key], ["valid_from"], {f"{s}_f": F.col(s) for s in structs}, F.col("__cut"))
+    slots, at = cut(slots, [key], ["valid_from"], "__cut")
+    timeline = with_valid_to(slots, [key], "valid_from", chunk=at)
+    filled = fill_down(timeline, [key], ["valid_from"], {f"{s}_f": F.col(s) for s in structs}, at)
     out = [key, "valid_from", "valid_to", (F.col("valid_to") == future()).alias("is_current")]
     for name, df in tables.items():
         held = F.col(f"__{name}_f")
@@ -55,28 +55,29 @@ def join_scd2(key: str, tables: Mapping[str, DataFrame], chunk: Chunk = "month")
     return filled.select(*out)
 
 
-def join_snapshots(t1: DataFrame, t2: DataFrame, key: str, col: str, chunk: Chunk = "month") -> DataFrame:
+def join_snapshots(t1: DataFrame, t2: DataFrame, key: str, col: str) -> DataFrame:
     """Two-table timeline join that takes one column of the second table."""
-    return join_scd2(key, {"a": t1, "b": t2.select(key, "valid_from", "valid_to", col)}, chunk).drop("is_current")
+    return join_scd2(key, {"a": t1, "b": t2.select(key, "valid_from", "valid_to", col)}).drop("is_current")
 
 
-def _islands(df: DataFrame, key: Sequence[str], order: Sequence[str], starts: Column, look: dict, chunk: Chunk):
-    cols, df = df.columns, cut(df, key, order[0], chunk).withColumnRenamed("__chunk", "__cut")
-    prev = neighbour(df, key, order, {**look, "__has_prev": F.lit(True)}, F.col("__cut"))
+def _islands(df: DataFrame, key: Sequence[str], order: Sequence[str], starts: Column, look: dict):
+    cols = df.columns
+    df, at = cut(df, key, order, "__cut")
+    prev = neighbour(df, key, order, {**look, "__has_prev": F.lit(True)}, at)
     flagged = prev.withColumn("__start", F.when(F.col("__has_prev").isNull() | starts, 1).otherwise(0))
-    numbered = running(flagged, key, order, sums={"__island": F.col("__start").cast("long")}, chunk=F.col("__cut"))
+    numbered = running(flagged, key, order, sums={"__island": F.col("__start").cast("long")}, chunk=at)
     return numbered.select(*cols, "__island")
 
 
 def merge_islands(
-    df: DataFrame, key: Sequence[str], state: Sequence[str], tie: Sequence[str] = (), chunk: Chunk = "month"
+    df: DataFrame, key: Sequence[str], state: Sequence[str], tie: Sequence[str] = ()
 ) -> DataFrame:
     """Merge neighbouring rows of equal state into one row from the first start to the last end."""
     differs = F.lit(False)
     for s in state:
         differs = differs | ~F.col(s).eqNullSafe(F.col(f"__prev_{s}"))
     look = {f"__prev_{s}": s for s in state}
-    rows = _islands(df, key, ["valid_from", *tie], differs, look, chunk)
+    rows = _islands(df, key, ["valid_from", *tie], differs, look)
     return (
         rows.groupBy(*key, *state, "__island")
         .agg(F.min("valid_from").alias("valid_from"), F.max("valid_to").alias("valid_to"))
@@ -84,50 +85,25 @@ def merge_islands(
     )
 
 
-def state_islands(
-    df: DataFrame, key: Sequence[str], ts: str, state: str, tie: Sequence[str] = (), chunk: Chunk = "month"
-) -> DataFrame:
+def state_islands(df: DataFrame, key: Sequence[str], ts: str, state: str, tie: Sequence[str] = ()) -> DataFrame:
     """Events with a state to validity rows: one row per run of equal states, ended by the next run.
 
-    Equal to :func:`with_valid_to` followed by :func:`merge_islands`, in one pass.  What a chunk must know of its
-    neighbours follows from the first and last position of each state per chunk: the first change inside a chunk is
-    where the second of its states first appears.
+    Equal to :func:`with_valid_to` followed by :func:`merge_islands`, in one pass: the rows that open a run are kept, and
+    each ends where the next of them starts.
     """
-    order = F.struct(ts, *tie)
-    base = cut(df.select(*key, ts, *tie, F.col(state).alias("__s")), key, ts, chunk).withColumnRenamed("__chunk", "__c")
-    per_state = base.groupBy(*key, "__c", "__s").agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
-    edges = per_state.groupBy(*key, "__c").agg(
-        F.min_by(F.struct("__s"), "__lo").alias("first"),
-        F.max_by(F.struct("__s"), "__hi").alias("last"),
-        F.array_sort(F.collect_list(F.col(f"__lo.{ts}"))).alias("__starts"),
-    )
-    by = Window.partitionBy(*key).orderBy("__c")
-    edges = edges.withColumn("__before", F.lag("last").over(by))
-    opens = F.col("__before").isNull() | ~F.col("first.__s").eqNullSafe(F.col("__before.__s"))
-    start = F.when(opens, F.col("__starts")[0]).otherwise(F.get("__starts", F.lit(1)))
-    edges = edges.withColumn("__start", start)
-    later = F.first("__start", ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing))
-    edges = edges.select(*key, "__c", "__before", later.alias("__after"))
-    lead_rows = edges.where("__before is not null").select(*key, "__c", F.lit(-1).alias("__e"), F.col("__before").alias("__v"))
-    tail_rows = edges.where("__after is not null").select(
-        *key, "__c", F.lit(1).alias("__e"), F.col("__after").cast(df.schema[ts].dataType).alias(ts)
-    )
-    rows = base.withColumns({"__e": F.lit(0), "__v": F.struct("__s")}).drop("__s")
-    both = rows.unionByName(lead_rows, allowMissingColumns=True).unionByName(tail_rows, allowMissingColumns=True)
-    w = Window.partitionBy(*key, "__c").orderBy("__e", ts, *tie)
-    prev = F.lag("__v").over(w)
-    fresh = prev.isNull() | ~F.col("__v.__s").eqNullSafe(prev["__s"])
-    # A tail row stands for the next start in a later chunk.
-    marked = both.withColumn("__new", (F.col("__e") == 1) | ((F.col("__e") == 0) & fresh)).where("__new")
-    end = F.coalesce(F.lead(ts).over(w), future().cast(df.schema[ts].dataType))
-    out = marked.withColumn("valid_to", end).where("__e = 0")
-    return out.select(*key, F.col("__v.__s").alias(state), F.col(ts).alias("valid_from"), "valid_to")
-
-
-def merge_contiguous(df: DataFrame, key: Sequence[str], state: Sequence[str], chunk: Chunk = "month") -> DataFrame:
+    order = [ts, *tie]
+    rows, at = cut(df.select(*key, *order, F.col(state).alias("__s")), key, order, "__cut")
+    prev = neighbour(rows, key, order, {"__prev": "__s", "__has_prev": F.lit(True)}, at)
+    opens = prev.where(F.col("__has_prev").isNull() | ~F.col("__s").eqNullSafe(F.col("__prev"))).drop("__prev", "__has_prev")
+    ended = neighbour(opens, key, order, {"valid_to": ts}, at, forward=True)
+    end = F.coalesce("valid_to", future().cast(df.schema[ts].dataType))
+    return ended.select(*key, F.col("__s").alias(state), F.col(ts).alias("valid_from"), end.alias("valid_to"))
+
+
+def merge_contiguous(df: DataFrame, key: Sequence[str], state: Sequence[str]) -> DataFrame:
     """Merge rows of equal state (part of the key) that touch: the next starts where the last ended."""
     gap = F.col("__prev_to") != F.col("valid_from")
-    rows = _islands(df, [*key, *state], ["valid_from"], gap, {"__prev_to": "valid_to"}, chunk)
+    rows = _islands(df, [*key, *state], ["valid_from"], gap, {"__prev_to": "valid_to"})
     return (
         rows.groupBy(*key, *state, "__island")
         .agg(F.min("valid_from").alias("valid_from"), F.max("valid_to").alias("valid_to"))
@@ -141,14 +117,13 @@ def changes_only(
     state: str,
     ts: str,
     tie: Sequence[str] = (),
-    chunk: Chunk = "month",
     null_safe: bool = True,
 ) -> DataFrame:
     """Rows whose state differs from the row before; first rows always stay.
 
     Without ``null_safe`` a change from or to NULL is not seen as a change.
     """
-    prev = neighbour(df, key, [ts, *tie], {"__prev": state, "__has_prev": F.lit(True)}, chunk)
+    prev = neighbour(df, key, [ts, *tie], {"__prev": state, "__has_prev": F.lit(True)})
     same = F.col(state).eqNullSafe(F.col("__prev")) if null_safe else F.coalesce(F.col(state) == F.col("__prev"), F.lit(True))
     return prev.where(F.col("__has_prev").isNull() | ~same).drop("__prev", "__has_prev")
 
@@ -177,11 +152,10 @@ def resolve_weak_source(
     product: str,
     variation: str,
     is_weak: Column,
-    chunk: Chunk = "month",
 ) -> DataFrame:
     """A weak source that repeats the product of the last strong source takes that source's variation."""
     strong = F.when(~is_weak, F.struct(F.col(product).alias("p"), F.col(variation).alias("v")))
-    held = fill_down(df, key, order, {"__strong": strong}, chunk)
+    held = fill_down(df, key, order, {"__strong": strong})
     repeats = is_weak & (F.col("__strong.p") == F.col(product))
     return held.withColumn("resolved", F.when(repeats, F.col("__strong.v")).otherwise(F.col(variation))).drop(
         "__strong"
@@ -201,10 +175,10 @@ def backfill_start(df: DataFrame, key: Sequence[str], start: Column) -> DataFram
     )
 
 
-def version_diff(df: DataFrame, key: Sequence[str], cols: Sequence[str], chunk: Chunk = "month") -> DataFrame:
+def version_diff(df: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Per version, which columns differ from the version before (first versions: no change)."""
     look = {f"previous_{c}": c for c in cols} | {"__has_prev": F.lit(True)}
-    prev = neighbour(df, key, ["valid_from"], look, chunk)
+    prev = neighbour(df, key, ["valid_from"], look)
     flags = {
         f"{c}_changed": F.col("__has_prev").isNotNull() & ~F.col(c).eqNullSafe(F.col(f"previous_{c}")) for c in cols
     }
@@ -286,15 +260,15 @@ def expand_periods(df: DataFrame, start: Column, end: Column, step: str = "1 day
     return df.withColumn(out, F.explode(grid))
 
 
-def overlaps(df: DataFrame, key: Sequence[str], tie: Sequence[str] = (), chunk: Chunk = "month") -> DataFrame:
+def overlaps(df: DataFrame, key: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
     """Rows that start before an earlier row of the same key has ended.
 
     The latest end seen so far is carried along, so rows are never paired.
     """
     order = ["valid_from", *tie]
-    rows = cut(df, key, "valid_from", chunk).withColumnRenamed("__chunk", "__cut")
-    upto = running(rows, key, order, maxes={"__max_to": F.col("valid_to")}, chunk=F.col("__cut"))
-    prev = neighbour(upto, key, order, {"latest_end_before": "__max_to"}, F.col("__cut"))
+    rows, at = cut(df, key, order, "__cut")
+    upto = running(rows, key, order, maxes={"__max_to": F.col("valid_to")}, chunk=at)
+    prev = neighbour(upto, key, order, {"latest_end_before": "__max_to"}, at)
     return prev.where(F.col("latest_end_before") > F.col("valid_from")).drop("__max_to", "__cut")
 
 

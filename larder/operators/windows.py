@@ -13,44 +13,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.dates import year_week_diff
-from larder.operators.chunked import Chunk, fill_down, neighbour, row_numbers, running, with_totals
+from larder.operators.chunked import fill_down, neighbour, row_numbers, running, with_totals
 
 
-def rank_rows(df: DataFrame, part: Sequence[str], order: Sequence[str], chunk: Chunk, out: str = "rn") -> DataFrame:
+def rank_rows(df: DataFrame, part: Sequence[str], order: Sequence[str], out: str = "rn") -> DataFrame:
     """Position in the group."""
-    return row_numbers(df, part, order, out, chunk)
+    return row_numbers(df, part, order, out)
 
 
-def version_rank(df: DataFrame, part: Sequence[str], ts: str, chunk: Chunk = "month") -> DataFrame:
+def version_rank(df: DataFrame, part: Sequence[str], ts: str) -> DataFrame:
     """Dense rank of an instant in its group, counted up (``version``) and down (``version_desc``)."""
-    points = row_numbers(df.select(*part, ts).distinct(), part, [ts], "version", chunk)
+    points = row_numbers(df.select(*part, ts).distinct(), part, [ts], "version")
     ranks = with_totals(points, part, __n=F.count("*"))
     ranks = ranks.withColumn("version_desc", F.col("__n") - F.col("version") + 1).drop("__n")
     return df.join(ranks, [*part, ts])
 
 
-def lag_cols(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str], chunk: Chunk) -> DataFrame:
-    return neighbour(df, part, order, {f"previous_{c}": c for c in cols}, chunk)
+def lag_cols(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    return neighbour(df, part, order, {f"previous_{c}": c for c in cols})
 
 
-def lead_or(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, default: Column, chunk: Chunk) -> DataFrame:
+def lead_or(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, default: Column) -> DataFrame:
     """Next row's value, or a default on the last row."""
-    out = neighbour(df, part, order, {f"next_{col}": col, "__has": F.lit(True)}, chunk, forward=True)
+    out = neighbour(df, part, order, {f"next_{col}": col, "__has": F.lit(True)}, forward=True)
     return out.withColumn(
         f"next_{col}", F.when(F.col("__has").isNull(), default).otherwise(F.col(f"next_{col}"))
     ).drop("__has")
 
 
-def ffill(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, chunk: Chunk) -> DataFrame:
-    return fill_down(df, part, order, {f"{col}_filled": F.col(col)}, chunk)
+def ffill(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str) -> DataFrame:
+    return fill_down(df, part, order, {f"{col}_filled": F.col(col)})
 
 
-def running_totals(
-    df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, chunk: Chunk
-) -> DataFrame:
-    return running(
-        df, part, order, {"running_count": F.lit(1).cast("long"), "running_sum": F.col(col)}, chunk=chunk
-    )
+def running_totals(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str) -> DataFrame:
+    return running(df, part, order, {"running_count": F.lit(1).cast("long"), "running_sum": F.col(col)})
 
 
 def partition_totals(df: DataFrame, part: Sequence[str], **aggs: Column) -> DataFrame:
@@ -124,9 +120,9 @@ def number_periods(df: DataFrame, part: Sequence[str], date: str, out: str = "se
 
 
 def rank_by_score(df: DataFrame, part: Sequence[str], score: str, tie: str, out: str = "order_rank") -> DataFrame:
-    """Rank by falling score, ties by falling-in order of ``tie``; scores are chunked by tenth."""
+    """Rank by falling score, ties by falling-in order of ``tie``."""
     neg = df.withColumn("__neg", -F.col(score))
-    return row_numbers(neg, part, ["__neg", tie], out, chunk=F.floor(F.col("__neg") * 10)).drop("__neg")
+    return row_numbers(neg, part, ["__neg", tie], out).drop("__neg")
 
 
 def weeks_since_last(df: DataFrame, item: Sequence[str], week: str) -> DataFrame:

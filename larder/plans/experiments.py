@@ -103,15 +103,15 @@ def ab_test(df: DataFrame, is_test: Column, value: str, alternative: str = "two-
     )
 
 
-def mann_whitney(df: DataFrame, is_test: Column, value: str, width: float) -> DataFrame:
+def mann_whitney(df: DataFrame, is_test: Column, value: str) -> DataFrame:
     """Mann-Whitney U of the test group with tie-corrected two-sided normal approximation.
 
-    Equal values are counted first; ranks come from a running count over value chunks of ``width``.
+    Equal values are counted first; ranks come from a running count over the distinct values.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("x")).agg(
         F.count(F.when(is_test, 1)).alias("t"), F.count("*").alias("n")
     )
-    ranked = running(counts.withColumn("g", F.lit(0)), ["g"], ["x"], {"upto": F.col("n")}, chunk=width)
+    ranked = running(counts, [], ["x"], {"upto": F.col("n")})
     rank = F.col("upto") - F.col("n") + (F.col("n") + 1) / 2
     s = ranked.agg(
         F.sum(F.col("t") * rank).alias("r"),

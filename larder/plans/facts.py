@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from larder.functions.arrays import has_intersection
 from larder.functions.keys import surrogate_key
 from larder.operators.aggregates import combination_id
-from larder.operators.chunked import Chunk
 from larder.operators.joins import as_of
 from larder.operators.projections import band
 
@@ -66,7 +65,7 @@ def order_fact(
 
 def rotation_scores(
     outputs: DataFrame, dishes: DataFrame, versions: DataFrame, version_items: DataFrame, weeks_back: int = 6,
-    weeks_ahead: int = 0, chunk: Chunk = "year",
+    weeks_ahead: int = 0,
 ) -> DataFrame:
     """How little the dishes of an output repeat dishes of the customer's other recent weeks.
 
@@ -84,7 +83,7 @@ def rotation_scores(
         F.explode(F.array(*[F.date_add("monday", 7 * o) for o in offsets])).alias("monday"),
     )
     v = versions.select("customer", "monday", "version", F.col("created_at").alias("v_at"))
-    latest = as_of(pairs, v, ["customer", "monday"], "known_at", "v_at", "m", tie="version", chunk=chunk)
+    latest = as_of(pairs, v, ["customer", "monday"], "known_at", "v_at", "m", tie="version")
     latest = latest.where("m is not null").select("output", "monday", F.col("m.version").alias("version"))
     window = latest.groupBy("output").agg(F.count("*").alias("week_window"))
     # Output and version meet on the item: a version's items only pair with the same item of the output.

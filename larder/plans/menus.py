@@ -18,7 +18,7 @@ def constraint_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def supplement_items(
-    available: DataFrame, universe: DataFrame, rules: DataFrame, cols: Sequence[str], seasonal: Sequence[str], chunk: int = 100_000
+    available: DataFrame, universe: DataFrame, rules: DataFrame, cols: Sequence[str], seasonal: Sequence[str]
 ) -> DataFrame:
     """Available items plus twice the missing number for every constraint that they do not meet.
 
@@ -31,7 +31,7 @@ def supplement_items(
     spare = universe.join(available.select("item"), "item", "left_anti")
     spare = spare.where(~F.arrays_overlap("tags", F.array(*[F.lit(s) for s in seasonal])))
     options = constraint_rows(spare, cols).join(gaps.select(*key, "gap"), key)
-    ranked = row_numbers(options, key, ["item"], "rank", chunk).where(F.col("rank") <= 2 * F.col("gap"))
+    ranked = row_numbers(options, key, ["item"], "rank").where(F.col("rank") <= 2 * F.col("gap"))
     extra = universe.join(ranked.select("item").distinct(), "item", "left_semi")
     return available.unionByName(extra)
 

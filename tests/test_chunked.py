@@ -3,29 +3,62 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from larder.operators import chunked as C
 
 
-@pytest.fixture(autouse=True)
+@pytest.fixture
 def small_cut(monkeypatch):
-    monkeypatch.setattr(C, "HOT_ROWS", 50)
+    monkeypatch.setattr(C, "LEAST_ROWS", 50)
+    monkeypatch.setattr(C, "SAMPLES", 4)
 
 
-def test_auto_cuts_only_large_keys(spark, history):
-    df = C.cut(history[1], ["k"], "ts", "auto")
+def test_large_keys_are_cut_by_rows(spark, history, small_cut):
+    df, chunk = C.cut(history[1], ["k"], ["ts", "id"])
+    assert chunk is not C.WHOLE
     n = {r.k: (r.chunks, r.n) for r in df.groupBy("k").agg(F.count_distinct("__chunk").alias("chunks"), F.count("*").alias("n")).collect()}
-    assert n["hot"][0] == math.ceil(n["hot"][1] / 50)
-    assert all(c == 1 for c, rows in n.values() if rows <= 50)
-    # Chunks follow the order column.
-    spans = sorted((r.c, r.lo, r.hi) for r in df.where("k = 'hot'").groupBy(F.col("__chunk").alias("c")).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).collect())
-    assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+    assert n["hot"][1] > 300 and 5 <= n["hot"][0] <= n["hot"][1] / 25
+    assert all(c > 1 if rows > 100 else c == 1 for c, rows in n.values() if rows <= 50 or rows > 100)
+    spans = sorted((r.c, r.lo, r.hi) for r in df.where("k = 'hot'").groupBy(F.col("__chunk").alias("c")).agg(F.min(F.struct("ts", "id")).alias("lo"), F.max(F.struct("ts", "id")).alias("hi")).collect())
+    assert all(a[2] < b[1] for a, b in zip(spans, spans[1:])) and spans[0][0] == 1
+
+
+def test_an_instant_is_split_by_the_tie_break(spark, small_cut):
+    now = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("hot", now, i) for i in range(1000)] + [(f"k{i}", now, i) for i in range(300)], "k string, ts timestamp_ntz, id int")
+    out, _ = C.cut(df, ["k"], ["ts", "id"])
+    sizes = [r["count"] for r in out.where("k = 'hot'").groupBy("__chunk").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 400
+    got = C.row_numbers(df, ["k"], ["ts", "id"])
+    assert {(r.k, r.id, r.rn) for r in got.collect()} == {("hot", i, i + 1) for i in range(1000)} | {(f"k{i}", i, 1) for i in range(300)}
+
+
+def test_small_keys_stay_whole_and_need_one_exchange(spark, history):
+    df, chunk = C.cut(history[1], ["k"], ["ts", "id"])
+    assert chunk is C.WHOLE and df.columns == history[1].columns
+    out = C.fill_down(C.neighbour(history[1], ["k"], ["ts", "id"], {"n": "id"}, chunk), ["k"], ["ts", "id"], {"last": F.col("v")}, chunk)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange ") <= 1
+
+
+def test_chunks_are_bounded_by_the_partitions(spark):
+    assert C.target_rows(spark.range(1), 10**12) == 10**12 // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert C.target_rows(spark.range(1), 1000) == C.LEAST_ROWS
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_without_a_key(spark, small, monkeypatch):
+    if small:
+        monkeypatch.setattr(C, "LEAST_ROWS", 50)
+    df = spark.createDataFrame([(i, (i * 7919) % 1000) for i in range(1000)], "id int, x int")
+    got = C.row_numbers(df, [], ["x", "id"])
+    assert {(r.x, r.rn) for r in got.collect()} == {(x, x + 1) for x in range(1000)}
+    assert C.row_numbers(df.limit(0), [], ["x", "id"]).collect() == []
 
 
 @pytest.fixture(scope="module")
@@ -47,11 +80,17 @@ def groups(data):
     return out
 
 
-@pytest.mark.parametrize("chunk", ["auto", "day", "month"])
+@pytest.fixture(params=["whole", "cut"])
+def size(request, monkeypatch):
+    if request.param == "cut":
+        monkeypatch.setattr(C, "LEAST_ROWS", 50)
+        monkeypatch.setattr(C, "SAMPLES", 4)
+
+
 @pytest.mark.parametrize("forward", [False, True])
-def test_neighbour(history, chunk, forward):
+def test_neighbour(history, size, forward):
     data, df = history
-    got = C.neighbour(df, ["k"], ["ts", "id"], {"n": "id", "nv": "v"}, chunk, forward)
+    got = C.neighbour(df, ["k"], ["ts", "id"], {"n": "id", "nv": "v"}, forward=forward)
     want = {}
     for g in groups(data).values():
         for i, r in enumerate(g):
@@ -60,11 +99,10 @@ def test_neighbour(history, chunk, forward):
     assert {r.id: (r.n, r.nv) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("chunk", ["auto", "month"])
-def test_running_and_fill(history, chunk):
+def test_running_and_fill(history, size):
     data, df = history
-    got = C.running(df, ["k"], ["ts", "id"], {"n": F.lit(1).cast("long"), "s": F.col("v")}, {"m": F.col("v")}, chunk)
-    got = C.fill_down(got, ["k"], ["ts", "id"], {"last": F.col("v")}, chunk)
+    got = C.running(df, ["k"], ["ts", "id"], {"n": F.lit(1).cast("long"), "s": F.col("v")}, {"m": F.col("v")})
+    got = C.fill_down(got, ["k"], ["ts", "id"], {"last": F.col("v")})
     want = {}
     for g in groups(data).values():
         seen = []
@@ -74,14 +112,19 @@ def test_running_and_fill(history, chunk):
     assert {r.id: (r.n, r.s, r.m, r.last) for r in got.collect()} == want
 
 
-def test_exact_median(spark):
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+def test_exact_quantiles(spark, size, monkeypatch, accuracy):
+    monkeypatch.setattr(C, "ACCURACY", accuracy)
     rnd = random.Random(5)
-    data = [("hot", rnd.choice([0.0, 1.0, rnd.random() * 1000])) for _ in range(501)]
-    data += [("even", float(x)) for x in (4, 1, 3, 2)] + [("one", 7.0), ("same", 2.0), ("same", 2.0), ("gap", None), ("gap", 5.0)]
-    df = spark.createDataFrame(data, "k string, x double")
-    got = {r.k: r.median for r in C.exact_median(df, ["k"], "x", bins=16).collect()}
+    data = [("hot", rnd.choice([0.0, 1.0, rnd.random() * 1000])) for _ in range(901)] + [("skew", 10.0 ** rnd.randrange(12)) for _ in range(400)]
+    data += [("even", float(x)) for x in (4, 1, 3, 2)] + [("one", 7.0), ("same", 2.0), ("same", 2.0), ("gap", None), ("gap", 5.0), (None, 3.0), (None, 4.0)]
+    df = spark.createDataFrame(data, "k string, x double").repartition(7)
     keys = {k for k, _ in data}
-    assert got == {k: statistics.median([x for kk, x in data if kk == k and x is not None]) for k in keys}
+    of = lambda k: [x for kk, x in data if kk == k and x is not None]
+    assert {r.k: r.median for r in C.exact_median(df, ["k"], "x").collect()} == {k: statistics.median(of(k)) for k in keys}
+    for q in (0.0, 0.05, 0.25, 0.9, 1.0):
+        got = {r.k: r.quantile for r in C.exact_quantile(df, ["k"], "x", q).collect()}
+        assert got == {k: pytest.approx(float(np.quantile(of(k), q)), rel=1e-9) for k in keys}
 
 
 def test_totals_keep_null_groups(spark):

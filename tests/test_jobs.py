@@ -159,7 +159,7 @@ def test_mann_whitney_counts_pairs(spark):
     a, b = [1.0, 4.0, 4.0, 9.0], [2.0, 4.0, 7.0]
     df = spark.createDataFrame([(True, x) for x in a] + [(False, x) for x in b], "g boolean, v double")
     u = sum((x > y) + 0.5 * (x == y) for x in a for y in b)
-    assert X.mann_whitney(df, F.col("g"), "v", 2.0).first().u_statistic == u
+    assert X.mann_whitney(df, F.col("g"), "v").first().u_statistic == u
 
 
 def test_fuzzy_tags_with_penalty(spark, rows):

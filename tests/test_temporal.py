@@ -115,7 +115,7 @@ def test_as_of_with_hot_key_matches_brute_force(spark):
     key = lambda: "hot" if rnd.random() < 0.6 else rnd.choice("abc")
     left = [(i, key(), D(1) + dt.timedelta(hours=rnd.randrange(700))) for i in range(300)]
     right = list({(k, D(1) + dt.timedelta(hours=h)): (k, D(1) + dt.timedelta(hours=h), j) for j, (k, h) in enumerate((key(), rnd.randrange(700)) for _ in range(300))}.values())
-    got = J.as_of(frame(spark, left, "id int, k string, ts timestamp_ntz"), frame(spark, right, "k string, rts timestamp_ntz, v int"), ["k"], "ts", "rts", chunk="day")
+    got = J.as_of(frame(spark, left, "id int, k string, ts timestamp_ntz"), frame(spark, right, "k string, rts timestamp_ntz, v int"), ["k"], "ts", "rts")
     want = {}
     for i, k, ts in left:
         ok = [(rts, v) for kk, rts, v in right if kk == k and rts <= ts]
@@ -136,7 +136,7 @@ def test_state_islands_equal_the_two_step_form(spark, monkeypatch):
 
     from larder.operators import chunked
 
-    monkeypatch.setattr(chunked, "HOT_ROWS", 40)
+    monkeypatch.setattr(chunked, "SAMPLES", 4)
 
     rnd = random.Random(9)
     data = [
@@ -145,9 +145,10 @@ def test_state_islands_equal_the_two_step_form(spark, monkeypatch):
     ]
     df = frame(spark, data, "k string, ts timestamp_ntz, id int, state string")
     two = df.withColumnRenamed("ts", "valid_from")
-    two = scd.merge_islands(scd.with_valid_to(two, ["k"], "valid_from", ["id"], "day"), ["k"], ["state"], ["id"], "day")
+    two = scd.merge_islands(scd.with_valid_to(two, ["k"], "valid_from", ["id"]), ["k"], ["state"], ["id"])
     cols = ("k", "state", "valid_from", "valid_to")
-    for chunk in ("auto", "day", "month"):
-        one = scd.state_islands(df, ["k"], "ts", "state", ["id"], chunk)
+    for least in (40, 50_000):
+        monkeypatch.setattr(chunked, "LEAST_ROWS", least)
+        one = scd.state_islands(df, ["k"], "ts", "state", ["id"])
         key = lambda r: str(r)
         assert sorted(map(tuple, one.select(*cols).collect()), key=key) == sorted(map(tuple, two.select(*cols).collect()), key=key)
