@@ -112,9 +112,10 @@ def test_running_and_fill(history, size):
     assert {r.id: (r.n, r.s, r.m, r.last) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_exact_quantiles(spark, size, monkeypatch, accuracy):
+@pytest.mark.parametrize(("accuracy", "sent"), [(20, 100), (10_000, 2)])
+def test_exact_quantiles(spark, size, monkeypatch, accuracy, sent):
     monkeypatch.setattr(C, "ACCURACY", accuracy)
+    monkeypatch.setattr(C, "SENT_GROUPS", sent)
     rnd = random.Random(5)
     data = [("hot", rnd.choice([0.0, 1.0, rnd.random() * 1000])) for _ in range(901)] + [("skew", 10.0 ** rnd.randrange(12)) for _ in range(400)]
     data += [("even", float(x)) for x in (4, 1, 3, 2)] + [("one", 7.0), ("same", 2.0), ("same", 2.0), ("gap", None), ("gap", 5.0), (None, 3.0), (None, 4.0)]
