@@ -41,25 +41,40 @@ def job_38_fuzzy(t: Tables):
     return G.fuzzy_tags(tokens(t), "doc_id", mapping, 85.0, [("nationer", "nation")], 20.0)
 
 
-@query("job_39", "SELECT lang, count(*) AS n_docs, true AS mostly_right FROM documents WHERE doc_id % 4 = 1 GROUP BY lang")
+@query(
+    "job_39",
+    """SELECT lang, count(*) AS n_docs, count(*) FILTER (doc_id % 4 = 1) AS n_held_out, true AS mostly_right, true AS held_out_right
+    FROM documents GROUP BY lang""",
+)
 def job_39(t: Tables):
-    """Three quarters of the documents train; the others show whether the best label is right for most of a language."""
-    docs = t.documents.select("doc_id", "lang", clean_tokens("text").alias("tokens"))
-    model = G.train_text_classifier(docs.where("doc_id % 4 <> 1"), "tokens", "lang")
-    out = G.predict_labels(model, docs.where("doc_id % 4 = 1"), ["doc_id", "lang"], 0.2)
-    right = (F.get("labels", F.lit(0))["label"] == F.col("lang")).cast("int")
-    return out.groupBy("lang").agg(F.count("*").alias("n_docs"), (F.avg(F.coalesce(right, F.lit(0))) > 0.5).alias("mostly_right"))
+    """Three quarters of the documents train, all are predicted: the best label must be right for four fifths of a language.
 
+    The same mark holds for the documents that were held out, so it is not met by learning the others by heart.
+    """
+    out = _predicted(t)
+    return out.groupBy("lang").agg(
+        F.count("*").alias("n_docs"),
+        F.count_if("held").alias("n_held_out"),
+        (F.avg("right") >= 0.8).alias("mostly_right"),
+        F.coalesce(F.avg(F.when(F.col("held"), F.col("right"))) >= 0.8, F.lit(True)).alias("held_out_right"),
+    )
 
-@query("job_39_labels")
-def job_39_labels(t: Tables):
-    """Predictions of the same model for every document: documents of a language and right labels, held-out ones beside."""
+
+def _predicted(t: Tables):
+    """Every document's language, whether it was held out, and whether its best label is right (1 or 0)."""
     docs = t.documents.select("doc_id", "lang", clean_tokens("text").alias("tokens"))
     held = F.coalesce(F.expr("doc_id % 4 = 1"), F.lit(False))
     model = G.train_text_classifier(docs.where(~held), "tokens", "lang")
     out = G.predict_labels(model, docs, ["doc_id", "lang"], 0.2)
     right = F.coalesce((F.get("labels", F.lit(0))["label"] == F.col("lang")).cast("int"), F.lit(0))
-    return out.groupBy("lang").agg(
+    return out.select("lang", held.alias("held"), right.alias("right"))
+
+
+@query("job_39_labels")
+def job_39_labels(t: Tables):
+    """Predictions of the same model for every document: documents of a language and right labels, held-out ones beside."""
+    held, right = F.col("held"), F.col("right")
+    return _predicted(t).groupBy("lang").agg(
         F.count("*").alias("n_docs"),
         F.sum(right).alias("n_right"),
         F.count_if(held).alias("n_held_out"),
