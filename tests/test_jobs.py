@@ -216,3 +216,27 @@ def test_text_labels_cover_every_document(spark):
     want = {r.lang: (r["n"], r.held) for r in docs.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.expr("doc_id % 4 = 1")).alias("held")).collect()}
     assert {k: (r.n_docs, r.n_held_out) for k, r in got.items()} == want
     assert all(r.n_right > 0.8 * r.n_docs and r.held_out_accuracy >= 0.8 for r in got.values())
+
+
+@pytest.mark.parametrize("n", [1, 3, 50])
+def test_menu_top_n_is_the_pooled_cosine(spark, n):
+    rnd = np.random.default_rng(4)
+    vectors = np.concatenate([rnd.normal(size=(20, 5)), rnd.integers(-1, 2, (20, 5))])
+    vectors[3], vectors[30] = vectors[4], 0
+    history = [(u, int(i)) for u in range(6) for i in rnd.choice(40, 1 + 2 * u)] + [(0, 39), (0, 39), (None, 3), (9, 77)]
+    menus = [(2024, w, int(i)) for w in (1, 2) for i in rnd.choice(40, 15, replace=False)] + [(2024, 1, 99), (2025, 1, 3), (2025, 1, 3)]
+    e = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)] + [(99, None)], "item int, embedding array<double>")
+    got = R.menu_top_n(
+        spark.createDataFrame(history, "user int, item int"), e, spark.createDataFrame(menus, "year int, week int, item int"), ["year", "week"], n
+    )
+    length = np.linalg.norm(vectors, axis=1, keepdims=True)
+    units = np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
+    want = set()
+    for user in range(6):
+        mine = sorted({i for u, i in history if u == user})
+        for menu in {(y, w) for y, w, _ in menus}:
+            sold = sorted({i for y, w, i in menus if (y, w) == menu and i < 40})
+            pooled = np.round(units[mine] @ units[sold].T, 12).max(0)
+            best = sorted(zip(-pooled, sold))[:n]
+            want |= {(user, *menu, i, k, round(float(-s), 9)) for k, (s, i) in enumerate(best, 1)}
+    assert {(r.user, r.year, r.week, r.item, r.rank, round(r.score, 9)) for r in got.collect()} == {(*w[:5], w[5] + 0.0) for w in want}
