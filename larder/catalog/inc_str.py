@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from larder.catalog.registry import Tables, query
 from larder.operators import incremental as I
 from larder.session import shared_dir
+from larder.sources import keyed
 from larder.streaming import queue as Q
 
 
@@ -23,7 +24,10 @@ def inc_01(t: Tables):
     new = t.orders.where("o_orderdate >= DATE'1998-01-01'").select(
         "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), "o_orderpriority"
     )
-    return I.merge_incremental(old, new, ["o_orderkey"])
+    out = shared_dir(t.spark, "inc_01")
+    keyed.upsert(old, out, ["o_orderkey"])
+    keyed.upsert(new, out, ["o_orderkey"])
+    return keyed.read(t.spark, out)
 
 
 @query(
@@ -71,7 +75,7 @@ def inc_04(t: Tables):
     )
     assert I.refresh(ev, out, *args, day, datetime(2024, 1, 20, 0, 30)) == "skipped"
     assert I.refresh(ev, out, *args, day, datetime(2024, 1, 25)) == "upserted"
-    return t.spark.read.parquet(out).select("event_id", "value")
+    return keyed.read(t.spark, out).select("event_id", "value")
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from larder.catalog.registry import Tables, query
 from larder.session import shared_dir
-from larder.sources import export, sinks, tables
+from larder.sources import export, keyed, sinks, tables
 from larder.sources.tables import Source
 
 
@@ -77,12 +77,12 @@ def src_05(t: Tables):
 def src_06(t: Tables):
     out = shared_dir(t.spark, "src_06")
     cols = ("o_orderkey", "o_orderstatus", "o_totalprice")
-    sinks.upsert(t.orders.where("o_orderdate < DATE'2000-01-01'").select(*cols), out, ["o_orderkey"])
+    keyed.upsert(t.orders.where("o_orderdate < DATE'2000-01-01'").select(*cols), out, ["o_orderkey"])
     changed = t.orders.where("o_orderdate >= DATE'1999-01-01'").select(
         "o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice")
     )
-    sinks.upsert(changed, out, ["o_orderkey"])
-    return t.spark.read.parquet(out)
+    keyed.upsert(changed, out, ["o_orderkey"])
+    return keyed.read(t.spark, out)
 
 
 @query("src_09", "SELECT p_partkey, p_name FROM part")
@@ -112,9 +112,9 @@ def src_11(t: Tables):
         F.count("*").alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total")
     )
     first = feats(t.orders.where("o_orderdate < DATE'1998-01-01'"))
-    sinks.save_feature_table(first.unionByName(first), out, ["o_custkey"])
-    sinks.save_feature_table(feats(t.orders), out, ["o_custkey"])
-    return t.spark.read.parquet(out)
+    keyed.save_feature_table(first.unionByName(first), out, ["o_custkey"])
+    keyed.save_feature_table(feats(t.orders), out, ["o_custkey"])
+    return keyed.read(t.spark, out)
 
 
 @query("src_12", "SELECT n_nationkey, n_name, n_regionkey FROM nation")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.chunked import row_numbers, with_totals
-from larder.sources import sinks
+from larder.sources import keyed, sinks
 
 
 def merge_incremental(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,14 +55,14 @@ def refresh(
     or not an incremental one: rebuilt.
     """
     spark = source.sparkSession
-    newest = spark.read.parquet(path).agg(F.max(ts)).first()[0] if sinks.exists(spark, path) else None
+    newest = keyed.read(spark, path).agg(F.max(ts)).first()[0] if keyed.is_table(spark, path) else None
     if newest is not None and now - newest < max_age:
         return "skipped"
     if newest is not None and incremental:
         changed = source.where((F.col(ts) >= F.lit(newest)) & (F.col(ts) <= F.lit(now)))
-        sinks.upsert(changed, path, keys)
+        keyed.upsert(changed, path, keys)
         return "upserted"
-    sinks.overwrite(source, path)
+    keyed.overwrite(source, path, keys)
     return "overwritten"
 
 

@@ -81,7 +81,8 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequ
 
     With ``partition_by`` (columns that are part of the key) only the partitions
     that the source touches are read and rewritten, so the cost follows the
-    batch and not the table.
+    batch and not the table.  Without, the whole table is rewritten; keyed
+    tables (:mod:`larder.sources.keyed`) are the form for large ones.
     """
     spark = source.sparkSession
     _require_unique(source, keys)
@@ -101,8 +102,3 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequ
     done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     fs, p = _fs(spark, staged)
     fs.delete(p, True)
-
-
-def save_feature_table(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Feature-table merge: full duplicates are dropped, a key with two different rows is an error."""
-    upsert(df.dropDuplicates(), path, keys)
