@@ -240,3 +240,21 @@ def test_menu_top_n_is_the_pooled_cosine(spark, n):
             best = sorted(zip(-pooled, sold))[:n]
             want |= {(user, *menu, i, k, round(float(-s), 9)) for k, (s, i) in enumerate(best, 1)}
     assert {(r.user, r.year, r.week, r.item, r.rank, round(r.score, 9)) for r in got.collect()} == {(*w[:5], w[5] + 0.0) for w in want}
+
+
+@pytest.mark.parametrize("k", [1, 4, 100])
+def test_cb_top_equals_the_best_of_all_scores(spark, rows, k):
+    rnd = random.Random(6)
+    tags = [f"t{i}" for i in range(14)]
+    profiles = [(u, tag, rnd.choice([rnd.expovariate(1) ** 3, -rnd.random(), 0.0, 0.5])) for u in range(12) for tag in rnd.sample(tags, rnd.randrange(1, 12))]
+    profiles += [(20, "t1", -1.0), (21, "elsewhere", 5.0), (22, "t0", 1e-7)]
+    users = [(u, "ab"[u % 2], w) for u in range(24) for w in (1, 2)]
+    menu = [(m, w, f"i{i}", tag) for m in "ab" for w in (1, 2) for i in rnd.sample(range(60), 25) for tag in rnd.sample(tags, rnd.randrange(1, 5))]
+    p = spark.createDataFrame(profiles, "user int, tag string, weight double")
+    u = spark.createDataFrame(users, "user int, company string, week int")
+    c = spark.createDataFrame(menu + menu[:9], "company string, week int, item string, tag string")
+    on = ["company", "week"]
+    every = R.cb_score(p, u, c, on).withColumn("score", F.round("score", 9))
+    want = R.top_k(every, [*on, "user"], [F.desc("score"), F.col("item")], k)
+    cols = ("company", "week", "user", "item", "rank", "score")
+    assert rows(R.cb_top(p, u, c, on, k), *cols) == rows(want, *cols) and len(rows(want)) >= 12 * min(k, 25)
