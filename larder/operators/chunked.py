@@ -218,7 +218,7 @@ ACCURACY = 10_000
 SENT_GROUPS = 100_000
 
 
-def _known_size(small: DataFrame, most: int) -> DataFrame:
+def sent_if_small(small: DataFrame, most: int) -> DataFrame:
     """A frame of at most so many rows, brought here once and marked for broadcast; a larger one as it is."""
     rows = small.limit(most + 1).collect()
     return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema)) if len(rows) <= most else small
@@ -237,7 +237,7 @@ def exact_quantile(df: DataFrame, part: Sequence[str], col: str, q: float = 0.5,
     bounds = F.percentile_approx("__x", F.array(F.lit(max(0.0, q - slack)), F.lit(min(1.0, q + slack))), F.lit(ACCURACY))
     brackets = rows.groupBy(*part).agg(bounds.alias("__b"), F.count("*").alias("__all"))
     brackets = brackets.select(*_renamed(part, "__p"), F.col("__b")[0].alias("__lo"), F.col("__b")[1].alias("__hi"), "__all")
-    brackets = _known_size(brackets, SENT_GROUPS)
+    brackets = sent_if_small(brackets, SENT_GROUPS)
     side = F.when(F.col("__x") < F.col("__lo"), 0).when(F.col("__x") <= F.col("__hi"), 1).otherwise(2)
     near = rows.join(brackets, _same(part, "__p")).withColumn("__side", side)
     counts = near.groupBy(*part, "__side", F.when(F.col("__side") == 1, F.col("__x")).alias("__value")).agg(

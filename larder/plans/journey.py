@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.dates import future, iso_year, monday_of
 from larder.operators.calendars import financial_calendar
+from larder.operators.chunked import sent_if_small
 from larder.operators.projections import classify
 
 # The order in which the segment rules are tested decides.
@@ -72,28 +73,36 @@ def journey_weeks(customers: DataFrame, orders: DataFrame, weeks: DataFrame) ->
     ``customers``: customer, company, signup_at, partial_signup_at, full_signup_at, deleted_at.
     ``orders``: customer, monday.  ``weeks``: company, monday, cutoff, previous_cutoff, seq.
     """
-    per_week = orders.groupBy("customer", "monday").agg(F.count("*").alias("n_orders"))
-    firsts = per_week.groupBy("customer").agg(F.min("monday").alias("first_monday"))
-    c = customers.join(firsts, "customer", "left").withColumn("signup_monday", monday_of("signup_at"))
-    # A calendar has a few hundred weeks per company: an equi join on the company with the dates as residual condition
-    # makes exactly the weeks that a customer lives through.
-    p = weeks.select(
-        F.col("company").alias("p_company"),
-        F.col("monday").alias("possible_monday"),
-        F.coalesce("cutoff", F.col("monday").cast("timestamp_ntz")).alias("p_end"),
-        F.coalesce("previous_cutoff", F.date_sub("monday", 7).cast("timestamp_ntz")).alias("p_before"),
+    spark = customers.sparkSession
+    # The weeks in which a customer ordered, as a map: no longer than the calendar.
+    per_week = orders.groupBy("customer", "monday").agg(F.count("*").alias("n"))
+    per_week = per_week.groupBy("customer").agg(
+        F.min("monday").alias("first_monday"), F.map_from_entries(F.collect_list(F.struct("monday", "n"))).alias("__orders")
     )
-    full = F.col("full_signup_at")
-    c = c.join(
-        p, (F.col("company") == F.col("p_company")) & (F.col("p_end") >= full) & (F.col("p_before") < full), "left"
-    )
-    w = weeks.select(F.col("company").alias("w_company"), "seq", "monday", "cutoff")
-    lives = (
-        (F.col("company") == F.col("w_company"))
-        & (F.col("monday") >= F.least("signup_monday", "first_monday"))
-        & (F.col("cutoff") < F.coalesce("deleted_at", future()))
+    weeks = sent_if_small(weeks.select("company", "seq", "monday", "cutoff", "previous_cutoff"), 100_000)
+    calendar = weeks.groupBy("company").agg(
+        F.array_sort(
+            F.collect_list(
+                F.struct(
+                    "seq",
+                    "monday",
+                    F.coalesce("cutoff", F.col("monday").cast("timestamp_ntz")).alias("end"),
+                    F.coalesce("previous_cutoff", F.date_sub("monday", 7).cast("timestamp_ntz")).alias("before"),
+                )
+            )
+        ).alias("__weeks")
     )
-    grid = c.join(w, lives).select(
+    c = customers.join(per_week, "customer", "left").withColumn("signup_monday", monday_of("signup_at"))
+    c = c.withColumn("__start", F.least("signup_monday", "first_monday")).where("__start is not null")
+    # Customers are spread by their id, a few hundred bytes each, and their weeks are made where the windows run.  Another
+    # number than the shuffle's keeps this step apart from the joins before, which may end in one partition.
+    spread = 2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A customer's place in the calendar is looked up once; the weeks follow from positions, not from comparing dates.
+    c = c.repartition(spread, "customer").join(sent_if_small(calendar, 10_000), "company")
+    place = F.size(F.filter("__weeks", lambda w: w["monday"] < F.col("__start"))) + 1
+    full = F.col("full_signup_at")
+    possible = F.filter("__weeks", lambda w: (w["end"] >= full) & (w["before"] < full))
+    c = c.select(
         "customer",
         "company",
         "first_monday",
@@ -101,12 +110,14 @@ def journey_weeks(customers: DataFrame, orders: DataFrame, weeks: DataFrame) ->
         "signup_monday",
         monday_of("partial_signup_at").alias("partial_monday"),
         monday_of("full_signup_at").alias("full_monday"),
-        "possible_monday",
-        "seq",
-        "monday",
-        "cutoff",
+        "__orders",
+        F.when(place <= F.size("__weeks"), F.sequence(place, F.size("__weeks"))).alias("__places"),
+        F.explode_outer(F.transform(possible, lambda w: w["monday"])).alias("possible_monday"),
     )
-    g = grid.join(per_week, ["customer", "monday"], "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
+    g = c.withColumn("seq", F.explode("__places")).drop("__places")
+    g = g.join(weeks.select("company", "seq", "monday", "cutoff"), ["company", "seq"])
+    g = g.where(F.col("cutoff") < F.coalesce("deleted_at", future()))
+    g = g.withColumn("n_orders", F.coalesce(F.try_element_at("__orders", F.col("monday")), F.lit(0))).drop("__orders")
     by = Window.partitionBy("customer").orderBy("seq")
     # Weeks are consecutive in seq, so row frames are week frames.
     g = g.withColumns(
