@@ -21,10 +21,13 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import defaultdict
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField
@@ -67,7 +70,7 @@ def canonical(word: str) -> str:
 
 
 class TemplateHashes(WordHashes):
-    """Hashes of template words by raw word; bare punctuation is 0."""
+    """Hashes of template words by raw word; bare punctuation is 0, and so is an empty word."""
 
     def __missing__(self, word: bytes) -> int:
         shape = canonical(word.decode("utf-8"))
@@ -81,7 +84,8 @@ class PlainHashes(WordHashes):
     """Hashes of case-folded words without punctuation by raw word, 0 where a template has no word either."""
 
     def __missing__(self, word: bytes) -> int:
-        low = _EDGES.sub("", word.decode("utf-8")).casefold()
+        text = word.decode("utf-8")
+        low = (text if text.isalnum() else _EDGES.sub("", text)).casefold()
         value = WordHashes.__missing__(_PLAIN, low.encode("utf-8")) if any(c.isalnum() for c in low) else 0
         if len(self) < self.limit:
             self[word] = value
@@ -115,6 +119,65 @@ class Template:
         return starts, shingles(self.hashes, width)[starts]
 
 
+_MARKS = b".,;:!?)'\""
+_UNIT_WORDS = frozenset(u.encode() for u in UNITS)
+_UNIT, _NAME = _PLAIN[b"<unit>"], _PLAIN[b"<name>"]
+
+
+class BothHashes(dict):
+    """Numbers of raw words as a task's dictionary, and the template and plain hash of each number."""
+
+    def __init__(self, limit: int = 1_000_000):
+        super().__init__()
+        self.limit, self.template, self.plain = limit, array("Q"), array("Q")
+        self.slow = TemplateHashes(0), PlainHashes(0)
+
+    def __missing__(self, word: bytes) -> int:
+        core = word.rstrip(_MARKS)
+        if core.isalpha():  # letters of ASCII only, as these are bytes: what the general rules make of them
+            low = core.lower()
+            plain = xxhash.xxh3_64_intdigest(low)
+            name = core[:1] != low[:1] and core[1:] == low[1:]
+            template = _UNIT if low in _UNIT_WORDS else _NAME if name else plain
+        else:
+            template, plain = (kind[word] for kind in self.slow)
+        self[word] = number = len(self.plain)
+        self.template.append(template)
+        self.plain.append(plain)
+        return number
+
+    def of(self, words: list[bytes]) -> dict[type, np.ndarray]:
+        if len(self) > self.limit:
+            self.clear()
+            self.template, self.plain = array("Q"), array("Q")
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if not len(numbers):
+            return {kind: np.zeros(0, np.uint64) for kind in (TemplateHashes, PlainHashes)}
+        kinds = ((TemplateHashes, self.template), (PlainHashes, self.plain))
+        return {kind: np.frombuffer(hashes, np.uint64)[numbers] for kind, hashes in kinds}
+
+
+class Words:
+    """The words of some texts, split and looked up once for both tables."""
+
+    def __init__(self, texts: list[str], both: BothHashes):
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary
+        _, offsets, data = distinct.buffers()
+        ends = np.frombuffer(offsets, np.int64)[: len(distinct) + 1].tolist() if len(distinct) else [0]
+        data = data.to_pybytes() if data else b""
+        self.hashes = both.of([data[lo:hi] for lo, hi in zip(ends, ends[1:])])
+        self.number = coded.indices.to_numpy(zero_copy_only=False)
+        self.text = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+
+    def hashed(self, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words that have one in this kind of table, in order, and their texts."""
+        found = self.hashes[kind][self.number]
+        at = np.flatnonzero(found)
+        return found[at], self.text[at]
+
+
 def _shift(bits: np.ndarray) -> np.uint64:
     """How far a hash is shifted to leave as many bits as the filter's address has."""
     return np.uint64(64 - (len(bits).bit_length() - 1))
@@ -142,11 +205,11 @@ class BenchmarkBlock:
 
     def suspects(self, texts: list[str], hashes: WordHashes) -> list[int]:
         """Positions of the texts with a window whose hash is in the table; all others contain no item."""
-        raw = [t.encode("utf-8").split() for t in texts]
-        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-        words = np.fromiter(map(hashes.__getitem__, chain.from_iterable(raw)), np.uint64, int(lengths.sum()))
-        at = np.flatnonzero(words)
-        words, doc, hit = words[at], np.repeat(np.arange(len(raw)), lengths)[at], set()
+        return self.suspected(Words(texts, BothHashes()), type(hashes))
+
+    def suspected(self, texts: Words, kind: type) -> list[int]:
+        words, doc = texts.hashed(kind)
+        hit = set()
         for width, table in self.table.items():
             if len(words) < width:
                 continue
@@ -217,13 +280,15 @@ def decontaminate(
             # Texts are matched by their number, as one id may stand for several and some have none.
             ids = [i for i, _ in shared.value]
             texts_of_block = list(enumerate(t for _, t in shared.value))
+            both = BothHashes()
             tables = [(BenchmarkBlock(texts_of_block, kind), kind()) for kind in (TemplateHashes, PlainHashes)]
             n_words = {i: len(t.hashes) for i, t in tables[0][0].items.items()}
 
             def work(texts):
                 covered: list[dict[int, set[int]]] = [{} for _ in texts]
+                words_of_texts = Words(texts, both)
                 for table, hashes in tables:
-                    for i in table.suspects(texts, hashes):
+                    for i in table.suspected(words_of_texts, type(hashes)):
                         for item, words in table.covered(Template(texts[i], hashes)).items():
                             covered[i].setdefault(item, set()).update(words)
                 found = [{item: len(words) / n_words[item] for item, words in c.items()} for c in covered]

@@ -104,3 +104,19 @@ def test_one_id_with_several_texts_and_texts_without_id(spark):
     for size in (1, 100):
         got = {r.doc_id: r["items"] for r in dc.decontaminate(docs, bench, items_per_block=size).collect()}
         assert got == {0: [0], 1: [0], 2: [None], 3: [None], 4: [0, None]}
+
+
+def test_words_split_once_are_the_words_of_the_texts():
+    rng = random.Random(9)
+    texts = ["", " ", "a", "\x0b a\x0c b\t\r\n", " x y \x85 z \x1c q", "ß" * 3 + "\0 \0"]
+    texts += ["".join(rng.choices("aZ9ß.,-$ \t\n\x0b\x0c\r\x1c\x85  _", k=rng.randint(0, 300))) for _ in range(400)]
+    cases = ["kg", "KG.", "Kg", "anna", "Anna", "ANNA", "aNna", "Anna's", "A", "a", "Miles!", "5kg", "5", "(Anna)", "é", "Éa", "%", "a%", "--", "K", "ſ"]
+    texts += [" ".join(w + rng.choice(["", ".", "?)", "'", "%"]) for w in rng.choices(cases, k=40)) for _ in range(100)]
+    for limit in (1_000_000, 3):
+        both = dc.BothHashes(limit)
+        for part in (texts[:250], texts[250:], [], [""]):
+            words = dc.Words(part, both)
+            for kind in (dc.TemplateHashes, dc.PlainHashes):
+                got, at = words.hashed(kind)
+                hashes = kind()
+                assert [got[at == i].tolist() for i in range(len(part))] == [dc.Template(t, hashes).hashes.tolist() for t in part]
