@@ -17,9 +17,9 @@ The frequent shingles are broadcast: those with more than ``FREQUENT`` prefix en
 until at most ``BROADCAST`` are left (8 MB).  They only set the order; any choice gives the same links.
 
 Shingles and classes are known by 64-bit hashes.  NULL texts and texts without words have an empty set and link with
-nothing; fewer than five words are one shingle; repeated rows are in one class; a NULL id never names a component, and a
-class that has no other id is compared with no other class; an empty table gives an empty result.  Similar documents of one component are not expanded into all their pairs, so no number of
-links is returned.
+nothing; fewer than five words are one shingle; repeated rows are in one class; a NULL id never names a component, but
+links through such documents count (a hash of the text stands for the id); an empty table gives an empty result.  Similar
+documents of one component are not expanded into all their pairs, so no number of links is returned.
 """
 
 from __future__ import annotations
@@ -72,34 +72,38 @@ def _texts(df: DataFrame, text_col: str) -> DataFrame:
     return df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
 
 
+def _named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+
+
 PARITY = "p0 long, p1 long, p2 long, p3 long"
 
 
 def first_pass(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Set size ``n``, ``class`` and parities of every document by ``id``; packed counts of prefix entries where ``n`` is NULL."""
+    """Set size ``n``, ``class`` and parities of every document by ``id`` (or ``stand_in``); packed counts of prefix entries where ``n`` is NULL."""
     buckets = how_many(df)
-    fields = [("id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), *[(f"p{k}", pa.int64()) for k in range(4)]]
+    fields = [("id", pa.int64()), ("stand_in", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), *[(f"p{k}", pa.int64()) for k in range(4)]]
     fields += [("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
     schema = pa.schema(fields)
 
     def run(batches):
         sets = ShingleSets()
         for batch in batches:
-            found = [sets.of(t) for t in batch.column(1).to_pylist()]
+            found = [sets.of(t) for t in batch.column(2).to_pylist()]
             sizes = [len(s) for s in found]
-            own = [batch.column(0), pa.array(sizes, pa.int64()), pa.array([_name(s) for s in found], pa.int64())]
+            own = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array([_name(s) for s in found], pa.int64())]
             parity = np.array([_parity(s) for s in found], np.int64).reshape(len(found), 4)
             own += [pa.array(parity[:, k]) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([*own, *[pa.nulls(len(found), t) for _, t in fields[7:]]], schema=schema)
+            yield pa.RecordBatch.from_arrays([*own, *[pa.nulls(len(found), t) for _, t in fields[8:]]], schema=schema)
             parts = [s[: _prefix_length(len(s))] for s in found if len(s)]
             if parts:
                 keys, counts = np.unique(np.concatenate(parts), return_counts=True)
                 rows = list(zip(*split(buckets, keys, keys, counts.astype("<u4"))))
-                packed = [pa.array(c, t) for c, (_, t) in zip(rows, fields[7:])]
-                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(rows[0]), pa.int64())] * 7, *packed], schema=schema)
+                packed = [pa.array(c, t) for c, (_, t) in zip(rows, fields[8:])]
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(rows[0]), pa.int64())] * 8, *packed], schema=schema)
 
-    named = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    return stored(named.mapInArrow(run, f"id long, n long, class long, {PARITY}, bucket long, keys binary, counts binary"), "jaccard-first")
+    named = _named(df, id_col, text_col).select("id", F.when(F.col("id").isNull(), F.xxhash64("t")).alias("stand_in"), "t")
+    return stored(named.mapInArrow(run, f"id long, stand_in long, n long, class long, {PARITY}, bucket long, keys binary, counts binary"), "jaccard-first")
 
 
 def frequent_shingles(packed: DataFrame) -> np.ndarray:
@@ -218,8 +222,12 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def segments(df: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The sets of the wanted classes, cut into fragments of the global order: class, size, fragment, shingles."""
-    reps = classes.join(wanted.select("class").distinct(), "class").select(F.col("rep").alias("id"), "class")
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    reps = classes.join(wanted.select("class").distinct(), "class").select(
+        F.col("rep").isNull().alias("unnamed"), F.coalesce("rep", "stand_in").alias("key"), "class"
+    )
+    texts = _named(df, id_col, text_col).select(
+        F.col("id").isNull().alias("unnamed"), F.coalesce("id", F.xxhash64("t")).alias("key"), "t"
+    )
 
     def cut(frames):
         sets, seen = ShingleSets(), set()
@@ -228,14 +236,14 @@ def segments(df: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str,
             for lo in range(0, len(f), 256):
                 out, part = [], f.iloc[lo : lo + 256]
                 for wanted_class, s in zip(part["class"], map(sets.of, part["t"])):
-                    # An id may stand for several texts or rows; one of them has the class, and counts once.
+                    # A key may stand for several texts or rows; one of them has the class, and counts once.
                     if _name(s) == wanted_class and wanted_class not in seen:
                         seen.add(wanted_class)
                         cuts = np.split(s.view(np.int64), np.searchsorted(s, edges))
                         out += [(wanted_class, len(s), k, p) for k, p in enumerate(cuts) if len(p)]
                 yield pd.DataFrame(out, columns=["class", "n", "fragment", "shingles"])
 
-    chosen = texts.join(reps.hint("shuffle_hash"), "id").select("class", "t")
+    chosen = texts.join(reps.hint("shuffle_hash"), ["unnamed", "key"]).select("class", "t")
     return chosen.mapInPandas(cut, "class long, n long, fragment int, shingles array<long>")
 
 
@@ -260,7 +268,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Id, ``n_shingles`` and ``component_id`` of every document."""
     seen = first_pass(df, id_col, text_col)
     docs = seen.where("n is not null").select("id", "n", "class")
-    kinds = seen.where("n > 0").groupBy("class", "n", "p0", "p1", "p2", "p3").agg(F.min("id").alias("rep"))
+    kinds = seen.where("n > 0").groupBy("class", "n", "p0", "p1", "p2", "p3").agg(F.min("id").alias("rep"), F.min("stand_in").alias("stand_in"))
     classes = stored(kinds, "jaccard-classes")
     frequent = frequent_shingles(seen.where("n is null").select("bucket", "keys", "counts"))
     found = candidates(df, text_col, frequent)

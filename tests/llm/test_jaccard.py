@@ -77,6 +77,19 @@ def test_nulls_repeats_and_empty(spark):
     assert jaccard.similar_components(df.limit(0)).count() == 0
 
 
+def test_links_through_documents_without_an_id(spark):
+    words = [f"w{i}" for i in range(84)]
+    changed = lambda at: [f"x{i}" if i in at else w for i, w in enumerate(words)]
+    chain = [" ".join(changed(at)) for at in ({0, 10}, set(), {70, 83})]
+    assert [c for _, c in plain(enumerate(chain)).values()] == [0, 0, 0]
+    assert [c for _, c in plain([(0, chain[0]), (2, chain[2])]).values()] == [0, 2]
+    # The copies without an id are two rows of one class; another text without an id links with nothing.
+    rows = [(4, chain[0]), (None, chain[1]), (None, chain[1].upper()), (9, chain[2]), (None, "something else stands here now")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard.similar_components(df).collect())
+    assert found == [("4", 80, 4), ("9", 80, 4), ("None", 1, None), ("None", 80, 4), ("None", 80, 4)]
+
+
 def test_components(spark):
     rng = random.Random(8)
     links = [(i, i + 1) for i in range(60)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(45)] + [(5, 5)]
