@@ -174,6 +174,75 @@ def job_33(t: Tables):
     )
 
 
+# Target of a group of features that nobody asked for.
+VARIATION = {"protein": (1.0, ["size"]), "carbohydrate": (0.2, ["quantity", "discount"]), "quality": (0.9, ["has_promo", "promo_share"])}
+_GROUPS = ", ".join(f"('{f}', '{g}', {v}, {len(fs)})" for g, (v, fs) in VARIATION.items() for f in fs)
+_CALORIE = """CASE WHEN feature = 'is_low_calorie' AND alone THEN 1 WHEN feature = 'is_low_calorie' AND plain THEN 0.5
+      WHEN feature = 'is_roede_percentage' AND NOT alone THEN 1 ELSE i END AS i, CASE WHEN feature = 'is_low_calorie' AND alone THEN 1
+      WHEN feature = 'is_low_calorie' AND plain THEN 0 WHEN feature = 'is_roede_percentage' AND NOT alone THEN CAST(points AS INTEGER) ELSE t END AS t"""
+
+
+@query(
+    "job_33_steps",
+    f"""WITH {BASKETS}, ft AS (SELECT * FROM (VALUES ('size'), ('quantity'), ('discount'), ('has_promo'), ('promo_share'), ('is_low_calorie'),
+      ('is_roede_percentage')) v(feature)),
+    cc AS (SELECT c_custkey AS customer, s AS concept, feature, CASE WHEN (length(feature) + s + c_custkey) % 3 = 0 THEN 0
+      ELSE (length(feature) + s) % 5 + 1 END AS importance, ((length(feature) * s) % 4) / 4.0 AS target FROM customer, ft,
+      (VALUES (1), (2), (3), (4)) q(s) WHERE CASE s WHEN 1 THEN c_custkey % 5 <> 0 WHEN 2 THEN c_custkey % 5 <= 1 WHEN 3 THEN c_custkey % 5 = 2
+      ELSE c_custkey % 5 = 3 END),
+    n1 AS (SELECT *, importance / sum(importance) OVER (PARTITION BY customer, concept) AS i FROM cc),
+    b0 AS (SELECT customer, feature, coalesce(avg(i) FILTER (i > 0), 0) AS i, coalesce(sum(i * target) / nullif(sum(i), 0), 0) AS t FROM n1 GROUP BY 1, 2),
+    b AS (SELECT customer, feature, i / sum(i) OVER (PARTITION BY customer) AS i, t FROM b0),
+    role AS (SELECT customer, bool_and(concept = 2) AS alone, bool_or(concept = 4) AS points, bool_and(concept = 1) AS plain FROM cc GROUP BY 1),
+    hi AS (SELECT customer, feature, value FROM im UNPIVOT INCLUDE NULLS (value FOR feature IN (size, quantity, discount, has_promo, promo_share))),
+    ht AS (SELECT customer, feature, value FROM tg UNPIVOT (value FOR feature IN (size, quantity, discount, has_promo, promo_share))),
+    h AS (SELECT hi.customer, hi.feature, hi.value AS hi, ht.value AS ht FROM hi JOIN ht ON ht.customer = hi.customer AND ht.feature = hi.feature),
+    k AS (SELECT DISTINCT customer FROM h),
+    v0 AS (SELECT b.customer, b.feature, k.customer IS NOT NULL AS has_history, CASE WHEN k.customer IS NOT NULL THEN (i + 10 * coalesce(hi, 0)) / 11
+      ELSE i END AS i, CASE WHEN k.customer IS NOT NULL AND i <= 0 THEN coalesce(ht, 0) ELSE t END AS t FROM b
+      LEFT JOIN k ON k.customer = b.customer LEFT JOIN h ON h.customer = b.customer AND h.feature = b.feature),
+    g AS (SELECT * FROM (VALUES {_GROUPS}) y(feature, grp, value, size_of)),
+    ms AS (SELECT customer, grp FROM v0 JOIN g USING (feature) WHERE NOT has_history GROUP BY 1, 2 HAVING max(i) = 0),
+    nm AS (SELECT customer, count(*) AS n FROM ms GROUP BY 1),
+    v1 AS (SELECT v0.customer, v0.feature, has_history, CASE WHEN ms.grp IS NULL THEN i ELSE 1.0 / n / size_of END AS i,
+      CASE WHEN ms.grp IS NULL THEN t ELSE value END AS t FROM v0 LEFT JOIN g ON g.feature = v0.feature
+      LEFT JOIN ms ON ms.customer = v0.customer AND ms.grp = g.grp LEFT JOIN nm ON nm.customer = v0.customer),
+    v2 AS (SELECT customer, feature, has_history, CASE WHEN has_history THEN i ELSE i / sum(i) OVER (PARTITION BY customer) END AS i, t FROM v1),
+    v AS (SELECT customer, feature, has_history, i, t FROM v2 WHERE has_history UNION ALL
+      SELECT customer, feature, has_history, {_CALORIE} FROM v2 JOIN role USING (customer) WHERE NOT has_history),
+    st AS (SELECT feature, si / (SELECT sum(si) FROM (VALUES {_STATIC}) z(f, si, tt)) * 0.65 AS si, tt FROM (VALUES {_STATIC}) w(feature, si, tt)),
+    m AS (SELECT customer, feature, has_history, i * 0.35 AS i, t FROM v UNION ALL
+      SELECT customer, st.feature, has_history, si, tt FROM (SELECT DISTINCT customer, has_history FROM v), st),
+    m1 AS (SELECT customer, feature, has_history, i / sum(i) OVER (PARTITION BY customer) AS i, t FROM m),
+    m2 AS (SELECT customer, feature, has_history, i, t FROM m1 WHERE NOT has_history UNION ALL
+      SELECT customer, feature, has_history, {_CALORIE} FROM m1 JOIN role USING (customer) WHERE has_history)
+    SELECT customer, feature, has_history, round(i, 10) AS importance, round(t, 10) AS target FROM m2""",
+)
+def job_33_steps(t: Tables):
+    """Customer vectors with the variation and calorie steps; concepts 2, 3 and 4 are low-calorie, vegetarian and points."""
+    target, importance = B.user_vectors(basket_features(t), "customer", SCALARS, FLAGS)
+    long = lambda df, name: df.select(
+        "customer", F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias(name)) for c in [*SCALARS, *FLAGS]])).alias("x")
+    ).select("customer", "x.*")
+    history = long(importance, "importance").join(long(target, "target"), ["customer", "feature"])
+    rest = F.col("c_custkey") % 5
+    chosen = [F.when(rest != 0, 1), F.when(rest <= 1, 2), F.when(rest == 2, 3), F.when(rest == 3, 4)]
+    c = t.customer.select(F.col("c_custkey").alias("customer"), F.explode(F.array_compact(F.array(*chosen))).alias("concept"))
+    features = [*SCALARS, *FLAGS, "is_low_calorie", "is_roede_percentage"]
+    c = c.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    n = F.length("feature")
+    concepts = c.withColumns(
+        {
+            "importance": F.when((n + F.col("concept") + F.col("customer")) % 3 == 0, 0).otherwise((n + F.col("concept")) % 5 + 1),
+            "target": (n * F.col("concept")) % 4 / 4.0,
+        }
+    )
+    out = B.blend_vectors(concepts, history, STATIC, variation=VARIATION, calorie=B.CalorieConcepts(2, 3, 4))
+    return out.select(
+        "customer", "feature", "has_history", F.round("importance", 10).alias("importance"), F.round("target", 10).alias("target")
+    )
+
+
 def _preference_menus(t: Tables):
     entry = F.struct("item", F.concat("allergens", "tastes").alias("preferences"))
     return menus(t).groupBy("company", "slot").agg(F.array_sort(F.collect_list(entry)).alias("menu"))

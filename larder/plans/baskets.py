@@ -9,6 +9,7 @@ computation on it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,9 +130,74 @@ def greedy_basket(
     return filled.select(*customers.columns, F.col("__b.chosen").alias("basket"), F.col("__b.error").alias("error"))
 
 
+@dataclass(frozen=True)
+class CalorieConcepts:
+    """The concepts that decide on calories, and the features they set."""
+
+    low_calorie: object
+    vegetarian: object
+    points: object
+    low_feature: str = "is_low_calorie"
+    points_feature: str = "is_roede_percentage"
+
+
+def add_variation(v: DataFrame, groups: Mapping[str, tuple[float, Sequence[str]]], where: Column) -> DataFrame:
+    """Variation for customers who ask for none: groups of features whose importances ``i`` are all 0 get a target.
+
+    ``v``: customer, feature, i, t, with a row for every feature of the groups.  ``groups``: name -> (target, features);
+    a feature that stands in several takes the last one that is missing.  The missing groups of a customer share an
+    importance of 1 evenly, and so do the features within a group; the importances are then made to sum to 1.  Groups
+    without a row are not missing.  Rows outside ``where``, a condition on the customer, stay as they are.
+    """
+    name = lambda group: f"__m_{group}"
+    tops = {name(g): F.max(F.when(F.col("feature").isin(list(fs)), F.col("i"))) for g, (_, fs) in groups.items()}
+    w = with_totals(v, ["customer"], **tops)
+    missing = {g: where & F.coalesce(F.col(name(g)) == 0, F.lit(False)) for g in groups}
+    n = sum((m.cast("int") for m in missing.values()), F.lit(0))
+    i, t = F.col("i"), F.col("t")
+    for g, (target, features) in groups.items():
+        hit = missing[g] & F.col("feature").isin(list(features))
+        i = F.when(hit, F.try_divide(F.lit(1.0), n * len(features))).otherwise(i)
+        t = F.when(hit, F.lit(float(target))).otherwise(t)
+    w = with_totals(w.withColumns({"i": i, "t": t}), ["customer"], __s=F.sum("i"))
+    return w.withColumn("i", F.when(where, F.coalesce(F.try_divide("i", "__s"), F.lit(0.0))).otherwise(F.col("i"))).select(*v.columns)
+
+
+def calorie_step(v: DataFrame, roles: DataFrame, c: CalorieConcepts, where: Column) -> DataFrame:
+    """Sets the calorie features of customers by their concepts (``roles``, see ``calorie_roles``); nothing is renormalised.
+
+    Only the low-calorie concept: that feature has importance and target 1, the points feature stays.  Else the points
+    feature has importance 1, with target 1 for its concept and 0 without it; without any of the three concepts
+    low-calorie dishes are avoided at importance 0.5.
+    """
+    only, points, none = F.col("__only"), F.col("__points"), F.col("__none")
+    is_low, is_points = F.col("feature") == c.low_feature, F.col("feature") == c.points_feature
+    rules = [
+        (is_low & only, 1.0, 1.0),
+        (is_low & none, 0.5, 0.0),
+        (is_points & ~only & points, 1.0, 1.0),
+        (is_points & ~only & ~points, 1.0, 0.0),
+    ]
+    i, t = F.col("i"), F.col("t")
+    for when, importance, target in rules:
+        i, t = F.when(where & when, importance).otherwise(i), F.when(where & when, target).otherwise(t)
+    return v.join(roles, "customer", "left").withColumns({"i": i, "t": t}).select(*v.columns)
+
+
+def calorie_roles(concepts: DataFrame, c: CalorieConcepts) -> DataFrame:
+    """What a customer's concepts say about calories: the low-calorie one alone, the points one, none of the three."""
+    is_one = lambda *ids: F.coalesce(F.col("concept").isin(list(ids)), F.lit(False))
+    return concepts.groupBy("customer").agg(
+        F.bool_and(is_one(c.low_calorie)).alias("__only"),
+        F.bool_or(is_one(c.points)).alias("__points"),
+        F.bool_and(~is_one(c.low_calorie, c.vegetarian, c.points)).alias("__none"),
+    )
+
+
 def blend_vectors(
     concepts: DataFrame, history: DataFrame, static: Mapping[str, tuple[float, float]], static_weight: float = 0.65,
-    history_weight: float = 10.0,
+    history_weight: float = 10.0, variation: Mapping[str, tuple[float, Sequence[str]]] | None = None,
+    calorie: CalorieConcepts | None = None,
 ) -> DataFrame:
     """Importance and target per (customer, feature) from concept vectors, own history and fixed features.
 
@@ -139,6 +205,10 @@ def blend_vectors(
     (customers may be missing).  ``static``: feature -> (importance, target).  Concepts combine by importance;
     history counts ten times a concept, but a feature that a concept asks for keeps the concept's target; the fixed
     features take ``static_weight`` of the total.  Importances of a customer sum to 1.
+
+    ``variation`` (groups of ``add_variation``) is for customers without history.  ``calorie`` sets the calorie features:
+    without history before the fixed features are blended in, with history at the very end, so that those features
+    outweigh the rest and the sum is above 1.
     """
     c = with_totals(concepts, ["customer", "concept"], __s=F.sum("importance"))
     c = c.withColumn("i", F.col("importance") / F.col("__s"))
@@ -162,6 +232,11 @@ def blend_vectors(
         F.when(use, blended).otherwise(F.col("i")).alias("i"),
         F.when(use & (F.col("i") <= 0), F.coalesce("ht", F.lit(0.0))).otherwise(F.col("t")).alias("t"),
     )
+    if variation:
+        v = add_variation(v, variation, ~F.col("has_history"))
+    if calorie:
+        roles = calorie_roles(concepts, calorie)
+        v = calorie_step(v, roles, calorie, ~F.col("has_history"))
     # The fixed features are a handful of literals: they join every customer's list as an exploded array.
     total = sum(i for i, _ in static.values())
     fixed = F.array(
@@ -177,9 +252,12 @@ def blend_vectors(
         "feature",
         "has_history",
         (F.coalesce("i", F.lit(0.0)) * (1 - static_weight) + F.coalesce("si", F.lit(0.0))).alias("i"),
-        F.coalesce("st", "t").alias("target"),
+        F.coalesce("st", "t").alias("t"),
     )
-    return norm(m).withColumnRenamed("i", "importance")
+    out = norm(m)
+    if calorie:
+        out = calorie_step(out, roles, calorie, F.col("has_history"))
+    return out.withColumnsRenamed({"i": "importance", "t": "target"})
 
 
 def filter_cascade(customers: DataFrame, menus: DataFrame, on: Sequence[str], k: Column) -> DataFrame:

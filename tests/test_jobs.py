@@ -93,6 +93,51 @@ def test_greedy_basket_matches_brute_force(spark):
     assert sorted(short.basket) == sorted(i[1] for i in items)
 
 
+def _concept_vectors(spark, chosen):
+    values = {"fish": 2.0, "rice": 0.0, "pasta": 0.0, "is_low_calorie": 2.0, "is_roede_percentage": 0.0}
+    rows = [(c, x, f, i, 0.5) for c, xs in chosen.items() for x in xs for f, i in values.items()]
+    return spark.createDataFrame(rows, "customer int, concept string, feature string, importance double, target double")
+
+
+def test_variation_and_calorie_steps(spark):
+    chosen = {1: ["quick"], 2: ["low"], 3: ["points", "quick"], 4: ["quick", "veg"], 5: ["quick"], 6: ["low", "veg"]}
+    history = spark.createDataFrame([(5, "fish", 1.0, 0.25)], "customer int, feature string, importance double, target double")
+    groups = {"protein": (1.0, ["fish"]), "carbohydrate": (0.2, ["rice", "pasta"]), "nothing": (0.7, ["absent"])}
+    out = B.blend_vectors(
+        _concept_vectors(spark, chosen), history, {"mean_rank": (1.0, 0.0)}, variation=groups, calorie=B.CalorieConcepts("low", "veg", "points")
+    )
+    got = {c: {} for c in chosen}
+    for r in out.collect():
+        got[r.customer][r.feature] = (r.importance, r.target)
+    # Only the carbohydrates are missing: 1 for their two features, 2 in all; then calories, then 0.65 for the fixed feature.
+    vectors = {  # fish, rice, pasta, is_low_calorie, is_roede_percentage before the fixed feature
+        1: [(0.25, 0.5), (0.25, 0.2), (0.25, 0.2), (0.5, 0.0), (1.0, 0.0)],
+        2: [(0.25, 0.5), (0.25, 0.2), (0.25, 0.2), (1.0, 1.0), (0.0, 0.0)],
+        3: [(0.25, 0.5), (0.25, 0.2), (0.25, 0.2), (0.25, 0.5), (1.0, 1.0)],
+        4: [(0.25, 0.5), (0.25, 0.2), (0.25, 0.2), (0.25, 0.5), (1.0, 0.0)],
+        6: [(0.25, 0.5), (0.25, 0.2), (0.25, 0.2), (0.25, 0.5), (1.0, 0.0)],
+    }
+    features = ["fish", "rice", "pasta", "is_low_calorie", "is_roede_percentage"]
+    for customer, want in vectors.items():
+        total = 0.35 * sum(i for i, _ in want) + 0.65
+        for f, (i, target) in zip(features, want):
+            assert got[customer][f] == (pytest.approx(0.35 * i / total), pytest.approx(target)), (customer, f)
+        assert sum(i for i, _ in got[customer].values()) == pytest.approx(1)
+    # With history: no variation, and the calorie features come on top of what sums to 1.
+    assert got[5]["rice"] == (0.0, 0.0) and got[5]["is_low_calorie"] == (0.5, 0.0) and got[5]["is_roede_percentage"] == (1.0, 0.0)
+    assert got[5]["fish"] == (pytest.approx(0.35 * (0.5 + 10) / 11), 0.5) and got[5]["mean_rank"] == (pytest.approx(0.65), 0.0)
+
+
+def test_all_groups_missing_share_alike(spark):
+    rows = [(c, f, 0.0, 0.3) for c in (1, 2) for f in ("a", "b", "c")] + [(2, "d", 1.0, 0.4)]
+    v = spark.createDataFrame(rows, "customer int, feature string, i double, t double")
+    groups = {"x": (1.0, ["a"]), "y": (0.5, ["b", "c"])}
+    got = {(r.customer, r.feature): (r.i, r.t) for r in B.add_variation(v, groups, F.lit(True)).collect()}
+    assert [got[1, f] for f in "abc"] == [(0.5, 1.0), (0.25, 0.5), (0.25, 0.5)]
+    assert [got[2, f] for f in "abcd"] == [(0.25, 1.0), (0.125, 0.5), (0.125, 0.5), (0.5, 0.4)]
+    assert B.add_variation(v.limit(0), groups, F.lit(True)).count() == 0
+
+
 def test_filter_cascade_levels(spark):
     menu = spark.createDataFrame([(1, [("a", ["nut"]), ("b", ["fish"]), ("c", [])])], "m int, menu array<struct<item:string,preferences:array<string>>>")
     cust = spark.createDataFrame(
