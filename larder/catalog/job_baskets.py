@@ -196,7 +196,8 @@ _CALORIE = """CASE WHEN feature = 'is_low_calorie' AND alone THEN 1 WHEN feature
     role AS (SELECT customer, bool_and(concept = 2) AS alone, bool_or(concept = 4) AS points, bool_and(concept = 1) AS plain FROM cc GROUP BY 1),
     hi AS (SELECT customer, feature, value FROM im UNPIVOT INCLUDE NULLS (value FOR feature IN (size, quantity, discount, has_promo, promo_share))),
     ht AS (SELECT customer, feature, value FROM tg UNPIVOT (value FOR feature IN (size, quantity, discount, has_promo, promo_share))),
-    h AS (SELECT hi.customer, hi.feature, hi.value AS hi, ht.value AS ht FROM hi JOIN ht ON ht.customer = hi.customer AND ht.feature = hi.feature),
+    h AS (SELECT hi.customer, hi.feature, hi.value AS hi, ht.value AS ht FROM hi JOIN ht ON ht.customer = hi.customer AND ht.feature = hi.feature
+      WHERE hi.customer IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')),
     k AS (SELECT DISTINCT customer FROM h),
     v0 AS (SELECT b.customer, b.feature, k.customer IS NOT NULL AS has_history, CASE WHEN k.customer IS NOT NULL THEN (i + 10 * coalesce(hi, 0)) / 11
       ELSE i END AS i, CASE WHEN k.customer IS NOT NULL AND i <= 0 THEN coalesce(ht, 0) ELSE t END AS t FROM b
@@ -219,12 +220,16 @@ _CALORIE = """CASE WHEN feature = 'is_low_calorie' AND alone THEN 1 WHEN feature
     SELECT customer, feature, has_history, round(i, 10) AS importance, round(t, 10) AS target FROM m2""",
 )
 def job_33_steps(t: Tables):
-    """Customer vectors with the variation and calorie steps; concepts 2, 3 and 4 are low-calorie, vegetarian and points."""
+    """Customer vectors with the variation and calorie steps; concepts 2, 3 and 4 are low-calorie, vegetarian and points.
+
+    One market segment stands for customers who have not agreed to the use of their history.
+    """
     target, importance = B.user_vectors(basket_features(t), "customer", SCALARS, FLAGS)
     long = lambda df, name: df.select(
         "customer", F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias(name)) for c in [*SCALARS, *FLAGS]])).alias("x")
     ).select("customer", "x.*")
-    history = long(importance, "importance").join(long(target, "target"), ["customer", "feature"])
+    consent = t.customer.where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("customer"))
+    history = long(importance, "importance").join(long(target, "target"), ["customer", "feature"]).join(consent, "customer", "left_semi")
     rest = F.col("c_custkey") % 5
     chosen = [F.when(rest != 0, 1), F.when(rest <= 1, 2), F.when(rest == 2, 3), F.when(rest == 3, 4)]
     c = t.customer.select(F.col("c_custkey").alias("customer"), F.explode(F.array_compact(F.array(*chosen))).alias("concept"))

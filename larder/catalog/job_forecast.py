@@ -76,6 +76,68 @@ def job_14(t: Tables):
     )
 
 
+_RATES = ["orders_rate_total", "orders_rate_dishes", "dish_share_rate_total", "dish_share_rate_dishes"]
+_PROJECTED = [c.replace("_rate_", "_projected_") for c in _RATES]
+_HISTORY = ["orders_lag_12", "orders_lag_52", "moving_avg_12", "moving_avg_52", "seasonality"]
+_ratio = lambda x, e: f"median(CASE WHEN {e} > 0 THEN {x} / {e} ELSE 0 END)"
+
+
+@query(
+    "job_14_targets",
+    f"""WITH o AS (SELECT n_regionkey AS company, CAST(date_trunc('week', o_orderdate) AS DATE) AS monday, CAST(o_orderdate AS DATE) AS d,
+      CAST(7 * (o_orderkey % 3 + 1) AS INTEGER) AS ahead, o_orderpriority < '3' AS dish
+      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+    wk AS (SELECT company, CAST(isoyear(monday) AS INTEGER) AS year, CAST(weekofyear(monday) AS INTEGER) AS week, count(*) AS orders,
+      count(*) FILTER (dish) / count(*) AS dish_share FROM o GROUP BY ALL),
+    es AS (SELECT company, monday + ahead AS m, d, count(*) * 3 AS total, nullif(count(*) FILTER (dish) * 3, 0) AS dishes FROM o GROUP BY ALL),
+    e AS (SELECT company, CAST(isoyear(m) AS INTEGER) AS year, CAST(weekofyear(m) AS INTEGER) AS week, d AS estimation_date,
+      CAST(m - 6 - d AS INTEGER) AS days_to_cutoff, total, dishes FROM es),
+    h AS (SELECT * FROM wk JOIN e USING (company, year, week) WHERE days_to_cutoff >= 0),
+    rt AS (SELECT company, days_to_cutoff, {_ratio("orders", "total")} AS r1, {_ratio("dish_share", "total")} AS r2 FROM h GROUP BY 1, 2),
+    rd AS (SELECT company, days_to_cutoff, {_ratio("orders", "dishes")} AS r3, {_ratio("dish_share", "dishes")} AS r4 FROM h
+      WHERE dishes IS NOT NULL GROUP BY 1, 2),
+    f AS (SELECT company, year, week, orders AS n, lag(orders, 12) OVER w AS orders_lag_12, lag(orders, 52) OVER w AS orders_lag_52,
+      CASE WHEN count(*) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) = 12 THEN avg(orders) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)
+      END AS ma12, CASE WHEN count(*) OVER (w ROWS BETWEEN 52 PRECEDING AND 1 PRECEDING) = 52 THEN avg(orders) OVER
+      (w ROWS BETWEEN 52 PRECEDING AND 1 PRECEDING) END AS ma52 FROM wk WINDOW w AS (PARTITION BY company ORDER BY year, week)),
+    s AS (SELECT company, week, avg(n - ma52) AS seasonality FROM f GROUP BY 1, 2)
+    SELECT company, year, week, orders, round(dish_share, 8) AS dish_share, estimation_date, days_to_cutoff, total, dishes,
+      round(r1, 8) AS orders_rate_total, round(r3, 8) AS orders_rate_dishes, round(r2, 8) AS dish_share_rate_total,
+      round(r4, 8) AS dish_share_rate_dishes, round(r1 * total, 8) AS orders_projected_total, round(r3 * dishes, 8) AS orders_projected_dishes,
+      round(r2 * total, 8) AS dish_share_projected_total, round(r4 * dishes, 8) AS dish_share_projected_dishes, orders_lag_12, orders_lag_52,
+      round(ma12, 8) AS moving_avg_12, round(ma52, 8) AS moving_avg_52, round(seasonality, 8) AS seasonality,
+      CAST(week % 4 = 0 AS INTEGER) AS has_holiday
+    FROM h JOIN rt USING (company, days_to_cutoff) JOIN rd USING (company, days_to_cutoff) JOIN f USING (company, year, week)
+    JOIN s USING (company, week)""",
+)
+def job_14_targets(t: Tables):
+    """Two targets and two estimates per region; orders stand for estimates of the weeks after them."""
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    o = o.select(
+        F.col("n_regionkey").alias("company"), F.to_date("o_orderdate").alias("estimation_date"),
+        F.date_add(monday_of("o_orderdate"), (7 * (F.col("o_orderkey") % 3 + 1)).cast("int")).alias("monday"),
+        (F.col("o_orderpriority") < "3").alias("dish"),
+    )
+    week = lambda c: [iso_year(c).cast("int").alias("year"), F.weekofyear(c).alias("week")]
+    dishes = F.count_if("dish")
+    weekly = o.groupBy("company", *week("estimation_date")).agg(
+        F.count("*").alias("orders"), (dishes / F.count("*")).alias("dish_share")
+    )
+    e = o.groupBy("company", "monday", "estimation_date").agg(
+        (F.count("*") * 3).alias("total"), F.when(dishes > 0, dishes * 3).alias("dishes")
+    )
+    e = e.select(
+        "company", *week("monday"), "estimation_date", "total", "dishes",
+        (F.datediff("monday", "estimation_date") - 6).alias("days_to_cutoff"),
+    )
+    holidays = weekly.where("week % 4 = 0").select("year", "week").distinct().withColumn("has_holiday", F.lit(1))
+    f = P.training_features(weekly, e, holidays, ["orders", "dish_share"], "total", "dishes")
+    rounded = [F.round(c, 8).alias(c) for c in ["dish_share", *_RATES, *_PROJECTED, *_HISTORY[2:]]]
+    return f.select(
+        "company", "year", "week", "orders", "estimation_date", "days_to_cutoff", "total", "dishes", *_HISTORY[:2], "has_holiday", *rounded
+    )
+
+
 SPLIT = f"""{WEEKLY}, past AS (SELECT * FROM weekly WHERE year * 100 + week < 200101),
 future AS (SELECT company, year, week FROM weekly WHERE year * 100 + week >= 200101)"""
 

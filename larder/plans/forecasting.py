@@ -68,6 +68,45 @@ def forecast_features(
     return f.join(e, ["company", "year", "week"]).join(holidays, ["year", "week"], "left")
 
 
+def training_features(
+    weekly: DataFrame, estimations: DataFrame, holidays: DataFrame, targets: Sequence[str], total: str, partial: str
+) -> DataFrame:
+    """Feature rows of past weeks per estimation date, for models that learn several targets.
+
+    ``weekly``: company, year, week, targets.  ``estimations``: company, year, week, estimation_date, days_to_cutoff and
+    two estimates.  ``holidays``: year, week and flags, 0 for weeks it does not list.  Weeks keep their estimates from
+    before the cutoff (``days_to_cutoff`` of 0 and more); weeks without any give no rows.  The rate of a target is its
+    median ratio to an estimate by company and days to the cutoff, an estimate of 0 counting as ratio 0; the rates of the
+    ``partial`` estimate come from rows without a NULL, and rows whose days have no such rate go.  The first target has
+    lags, moving averages and the seasonality of its week.
+    """
+    part, order, week = ["company"], ["year", "week"], ["company", "year", "week"]
+    known = weekly.select(*week, *targets).join(
+        estimations.select(*week, "estimation_date", "days_to_cutoff", total, partial), week, "left"
+    ).where("days_to_cutoff >= 0")
+    # A group holds a row per past week, so its ratios are as many as the calendar has weeks.
+    by = ["company", "days_to_cutoff"]
+    rate = lambda target, estimate, where: F.median(
+        F.when(where, F.when(F.col(estimate) > 0, F.col(target) / F.col(estimate)).otherwise(0.0))
+    ).alias(f"{target}_rate_{estimate}")
+    whole = F.lit(True)
+    for c in [*targets, total, partial]:
+        whole = whole & F.col(c).isNotNull()
+    rates = known.groupBy(*by).agg(
+        *[rate(x, total, F.col(x).isNotNull()) for x in targets],
+        *[rate(x, partial, whole) for x in targets],
+        F.bool_or(whole).alias("__whole"),
+    )
+    rows = known.join(rates.where("__whole").drop("__whole"), by)
+    projected = {f"{x}_projected_{e}": F.col(f"{x}_rate_{e}") * F.col(e) for x in targets for e in (total, partial)}
+    f = lags(weekly.select(*week, targets[0]), part, order, targets[0], [12, 52])
+    f = moving_avg(f, part, order, targets[0], [12])
+    f = seasonality(f, part, order, "week", targets[0]).drop(targets[0])
+    flags = [c for c in holidays.columns if c not in order]
+    out = rows.withColumns(projected).join(f, week).join(holidays, order, "left")
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in flags})
+
+
 def _same_week(hist: DataFrame, weeks: DataFrame, target: str, years: int) -> DataFrame:
     """Past value of the same week; gaps take the neighbours before, then after."""
     past = hist.select("company", (F.col("year") + years).alias("year"), "week", F.col(target).alias("__p"))

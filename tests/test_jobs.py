@@ -224,6 +224,21 @@ def test_holiday_features(spark):
     assert got["05-10"].days_until_next_holiday == 2
 
 
+def test_training_features_by_target(spark):
+    weekly = spark.createDataFrame([(1, 2024, w, 10 * w, 0.5) for w in range(1, 4)], "company int, year int, week int, a int, b double")
+    est = [(1, 2024, 1, 0, 5, 2), (1, 2024, 2, 0, 10, None), (1, 2024, 3, 0, 0, 6), (1, 2024, 2, -1, 1, 1), (1, 2024, 2, 4, 7, None), (1, 2024, 9, 0, 1, 1)]
+    est = spark.createDataFrame([(*r[:3], "2024-01-01", *r[3:]) for r in est],
+        "company int, year int, week int, estimation_date string, days_to_cutoff int, t int, d int")
+    holidays = spark.createDataFrame([(2024, 2, 1)], "year int, week int, easter int")
+    out = P.training_features(weekly, est, holidays, ["a", "b"], "t", "d").orderBy("week").collect()
+    # After the cutoff, without a week of orders, and 4 days ahead, where no row is whole: no rows.
+    assert [(r.week, r.days_to_cutoff, r.easter) for r in out] == [(1, 0, 0), (2, 0, 1), (3, 0, 0)]
+    assert {(r.a_rate_t, r.b_rate_t) for r in out} == {(2.0, 0.05)}  # medians of 2, 2, 0 and 0.1, 0.05, 0
+    assert {r.a_rate_d for r in out} == {5.0} and out[0].b_rate_d == pytest.approx((0.25 + 0.5 / 6) / 2)  # of 5 and 5
+    assert [r.a_projected_t for r in out] == [10.0, 20.0, 0.0] and [r.a_projected_d for r in out] == [10.0, None, 30.0]
+    assert P.training_features(weekly.limit(0), est, holidays, ["a", "b"], "t", "d").count() == 0
+
+
 def test_order_fact_knows_swaps_only_where_plans_exist(spark):
     lines = spark.createDataFrame([(o, i, 1.0, 5.0) for o in (1, 2, 3, 4) for i in (10, 11)], "order long, item long, quantity double, amount double")
     plan = spark.createDataFrame([(o, i, 1.0) for o in (1, 2, 3) for i in (10, 12)], "order long, item long, planned_quantity double")
