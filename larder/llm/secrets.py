@@ -13,6 +13,7 @@ table trains on drawn strings and the alphabet alone and gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,6 +76,29 @@ class CharacterModel:
         return self.logs[np.concatenate([[0], codes[:-1] + 1]), codes]
 
 
+def best_stretches(sums: np.ndarray) -> list[tuple[int, int]]:
+    """The stretch of the highest total, then the same to its left and right while totals are above 0; in one pass.
+
+    ``sums`` holds the totals of all prefixes.  Open stretches are kept with the totals before and after them; each knows
+    the nearest earlier one that begins lower, so that none is looked at again once it is passed over.
+    """
+    total, begins, ends, lower = sums.tolist(), [], [], []
+    for i in np.flatnonzero(sums[1:] > sums[:-1]).tolist():
+        begin, end = i, i + 1
+        while True:
+            j = len(begins) - 1
+            while j >= 0 and total[begins[j]] >= total[begin]:
+                j = lower[j]
+            if j < 0 or total[ends[j]] >= total[end]:
+                break
+            begin = begins[j]
+            del begins[j:], ends[j:], lower[j:]
+        begins.append(begin)
+        ends.append(end)
+        lower.append(j)
+    return list(zip(begins, ends))
+
+
 @dataclass
 class SecretModels:
     random: CharacterModel
@@ -89,21 +113,24 @@ class SecretModels:
         if above.mean() >= 0:
             return [(0, len(string))]
         sums = np.concatenate([[0.0], np.cumsum(above)])
-        gain = sums - np.minimum.accumulate(sums)
-        end = int(gain.argmax())
-        if gain[end] <= 0:
-            return []
-        begin = low = int(sums[:end].argmin())
-        high = end
-        while low and string[low] not in DIVIDERS and string[low - 1] not in DIVIDERS:
-            low -= 1
-        while high < len(string) and string[high - 1] not in DIVIDERS and string[high] not in DIVIDERS:
-            high += 1
-        if sums[high] >= sums[low]:  # else the rest of its word is ordinary
-            begin, end = low, high
-        own = [(begin, end)] if end - begin >= LEAST else []
-        after = [(a + end, b + end) for a, b in self.random_parts(string[end:])]
-        return [*self.random_parts(string[:begin]), *own, *after]
+        borders = [i for i, c in enumerate(string) if c in DIVIDERS]
+        found: list[tuple[int, int]] = []
+        for begin, end in best_stretches(sums):
+            # A stretch takes in its whole words, unless the rest of them is ordinary.
+            low, high = begin, end
+            if string[begin] not in DIVIDERS:
+                at = bisect_left(borders, begin)
+                low = borders[at - 1] + 1 if at else 0
+            if string[end - 1] not in DIVIDERS:
+                at = bisect_left(borders, end)
+                high = borders[at] if at < len(borders) else len(string)
+            if sums[high] >= sums[low]:
+                begin, end = low, high
+            while found and begin < found[-1][1]:
+                before = found.pop()
+                begin, end = min(begin, before[0]), max(end, before[1])
+            found.append((begin, end))
+        return [(begin, end) for begin, end in found if end - begin >= LEAST]
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """All spans by start, then kind."""
