@@ -47,7 +47,7 @@ class ShingleSets:
     """Sorted distinct shingle hashes of texts."""
 
     def __init__(self):
-        self.hashes = WordHashes()
+        self.hashes = WordHashes(1 << 18)
 
     def of(self, text: str) -> np.ndarray:
         return np.unique(shingles(self.hashes.of(lower_ascii(text).split()), WIDTH))
@@ -80,10 +80,15 @@ PARITY = "p0 long, p1 long, p2 long, p3 long"
 
 
 def first_pass(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Set size ``n``, ``class`` and parities of every document by ``id`` (or ``stand_in``); packed counts of prefix entries where ``n`` is NULL."""
+    """Set size ``n``, ``class`` and parities of every document by ``id`` (or ``stand_in``); where ``n`` is NULL, a ``shingle``
+    with more than ``FREQUENT`` prefix entries under the plain hash order, and their number.
+
+    Texts are cut into shingles once, so documents travel with the packed counts, dealt evenly; only what is left of the
+    counts after they met is written.
+    """
     buckets = how_many(df)
-    fields = [("id", pa.int64()), ("stand_in", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), *[(f"p{k}", pa.int64()) for k in range(4)]]
-    fields += [("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
+    fields = [("bucket", pa.int64()), ("id", pa.int64()), ("stand_in", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), *[(f"p{k}", pa.int64()) for k in range(4)]]
+    fields += [("keys", pa.binary()), ("counts", pa.binary())]
     schema = pa.schema(fields)
 
     def run(batches):
@@ -91,39 +96,60 @@ def first_pass(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             found = [sets.of(t) for t in batch.column(2).to_pylist()]
             sizes = [len(s) for s in found]
-            own = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array([_name(s) for s in found], pa.int64())]
+            own = [pa.array(np.arange(len(found)) % buckets), batch.column(0), batch.column(1), pa.array(sizes, pa.int64())]
             parity = np.array([_parity(s) for s in found], np.int64).reshape(len(found), 4)
-            own += [pa.array(parity[:, k]) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([*own, *[pa.nulls(len(found), t) for _, t in fields[8:]]], schema=schema)
+            own += [pa.array([_name(s) for s in found], pa.int64()), *[pa.array(parity[:, k]) for k in range(4)]]
+            yield pa.RecordBatch.from_arrays([*own, *[pa.nulls(len(found), t) for _, t in fields[9:]]], schema=schema)
             parts = [s[: _prefix_length(len(s))] for s in found if len(s)]
             if parts:
                 keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-                rows = list(zip(*split(buckets, keys, keys, counts.astype("<u4"))))
-                packed = [pa.array(c, t) for c, (_, t) in zip(rows, fields[8:])]
-                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(rows[0]), pa.int64())] * 8, *packed], schema=schema)
+                bucket, *packed = zip(*split(buckets, keys, keys, counts.astype("<u4")))
+                nothing = [pa.nulls(len(bucket), pa.int64())] * 8
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), *nothing, *[pa.array(c, pa.binary()) for c in packed]], schema=schema)
+
+    names = [name for name, _ in fields[1:9]]
+    out = pa.schema([*fields[1:9], ("shingle", pa.int64()), ("entries", pa.int64())])
+
+    def meet(batches):
+        now, keys, counts = None, [], []
+        for batch in batches:
+            document = batch.column("n").is_valid()
+            own = batch.filter(document)
+            if own.num_rows:
+                nothing = pa.nulls(own.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([*[own.column(c) for c in names], nothing, nothing], schema=out)
+            rest = batch.filter(batch.column("n").is_null())
+            for bucket, k, n in zip(*[rest.column(c).to_pylist() for c in ("bucket", "keys", "counts")]):
+                if bucket != now and keys:
+                    yield _hot(keys, counts, out)
+                    keys, counts = [], []
+                now = bucket
+                keys.append(k)
+                counts.append(n)
+        if keys:
+            yield _hot(keys, counts, out)
 
     named = _named(df, id_col, text_col).select("id", F.when(F.col("id").isNull(), F.xxhash64("t")).alias("stand_in"), "t")
-    return stored(named.mapInArrow(run, f"id long, stand_in long, n long, class long, {PARITY}, bucket long, keys binary, counts binary"), "jaccard-first")
+    columns = f"id long, stand_in long, n long, class long, {PARITY}"
+    packed = named.mapInArrow(run, f"bucket long, {columns}, keys binary, counts binary")
+    return stored(gathered(packed).mapInArrow(meet, f"{columns}, shingle long, entries long"), "jaccard-first")
 
 
-def frequent_shingles(packed: DataFrame) -> np.ndarray:
-    """Sorted hashes of the shingles with the most prefix entries under the plain hash order."""
+def _hot(keys: list[bytes], counts: list[bytes], out: pa.Schema) -> pa.RecordBatch:
+    """The shingles of a bucket with more than ``FREQUENT`` entries."""
+    found, at = np.unique(np.frombuffer(b"".join(keys), "<u8"), return_inverse=True)
+    total = np.bincount(at, np.frombuffer(b"".join(counts), "<u4")).astype(np.int64)
+    hot = total > FREQUENT
+    nothing = [pa.nulls(int(hot.sum()), pa.int64())] * 8
+    return pa.RecordBatch.from_arrays([*nothing, pa.array(found[hot].view(np.int64)), pa.array(total[hot])], schema=out)
 
-    def count(frames):
-        for _, f in by_bucket(frames):
-            keys = np.frombuffer(b"".join(f["keys"]), "<u8")
-            counts = np.frombuffer(b"".join(f["counts"]), "<u4").astype(np.int64)
-            found, at = np.unique(keys, return_inverse=True)
-            total = np.bincount(at, counts)
-            hot = total > FREQUENT
-            if hot.any():
-                yield pd.DataFrame({"shingle": found[hot].view(np.int64), "n": total[hot].astype(np.int64)})
-
-    hot = stored(gathered(packed).mapInPandas(count, "shingle long, n long"), "frequent-shingles")
+
+def frequent_shingles(hot: DataFrame) -> np.ndarray:
+    """Sorted hashes of the shingles (``shingle``, ``entries``) with the most prefix entries."""
     limit = FREQUENT
-    while hot.where(F.col("n") > limit).count() > BROADCAST:
+    while hot.where(F.col("entries") > limit).count() > BROADCAST:
         limit *= 2
-    return np.sort(hot.where(F.col("n") > limit).select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(hot.where(F.col("entries") > limit).select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
 class Members:
@@ -222,9 +248,8 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def segments(df: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The sets of the wanted classes, cut into fragments of the global order: class, size, fragment, shingles."""
-    reps = classes.join(wanted.select("class").distinct(), "class").select(
-        F.col("rep").isNull().alias("unnamed"), F.coalesce("rep", "stand_in").alias("key"), "class"
-    )
+    kinds = classes.join(wanted.select("class").distinct(), "class")
+    reps = stored(kinds.select(F.col("rep").isNull().alias("unnamed"), F.coalesce("rep", "stand_in").alias("key"), "class"), "jaccard-reps")
     texts = _named(df, id_col, text_col).select(
         F.col("id").isNull().alias("unnamed"), F.coalesce("id", F.xxhash64("t")).alias("key"), "t"
     )
@@ -243,10 +268,22 @@ def segments(df: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str,
                         out += [(wanted_class, len(s), k, p) for k, p in enumerate(cuts) if len(p)]
                 yield pd.DataFrame(out, columns=["class", "n", "fragment", "shingles"])
 
-    chosen = texts.join(reps.hint("shuffle_hash"), ["unnamed", "key"]).select("class", "t")
+    chosen = _likely(texts, reps).join(reps.hint("shuffle_hash"), ["unnamed", "key"]).select("class", "t")
     return chosen.mapInPandas(cut, "class long, n long, fragment int, shingles array<long>")
 
 
+def _likely(texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """The texts whose key has the 26-bit hash of a representative's: most others need not travel to the join.
+
+    The bits go out in at most 2 ** 20 words of 64, however many representatives there are.
+    """
+    cell = F.shiftrightunsigned(F.xxhash64("unnamed", "key"), 38).alias("cell")
+    bit = F.expr("shiftleft(1L, cast(cell & 63 as int))")
+    words = reps.select(cell).groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    near = texts.select("*", cell).join(F.broadcast(words), F.shiftright("cell", 6) == F.col("word"))
+    return near.where("bit_get(bits, cast(cell & 63 as int)) = 1").select("unnamed", "key", "t")
+
+
 def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """The pairs of classes that link: partial overlaps by fragment, summed for each pair."""
     left = parts.select(F.col("class").alias("a"), F.col("n").alias("na"), "fragment", F.col("shingles").alias("xa"))
@@ -270,7 +307,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = seen.where("n is not null").select("id", "n", "class")
     kinds = seen.where("n > 0").groupBy("class", "n", "p0", "p1", "p2", "p3").agg(F.min("id").alias("rep"), F.min("stand_in").alias("stand_in"))
     classes = stored(kinds, "jaccard-classes")
-    frequent = frequent_shingles(seen.where("n is null").select("bucket", "keys", "counts"))
+    frequent = frequent_shingles(seen.where("n is null").select("shingle", "entries"))
     found = candidates(df, text_col, frequent)
     pairs = stored(plausible(found.where("a is not null").select("a", "b").distinct(), classes), "jaccard-pairs")
     members = stored(found.where("a is null").select("list", "class", "n").distinct(), "jaccard-lists")

@@ -105,3 +105,19 @@ def test_components(spark):
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
     assert found == {x: find(x) for x in {y for p in links if p[0] != p[1] for y in p}}
+
+
+def test_only_compared_texts_travel_and_only_hot_shingles_are_written(spark):
+    """Before, every text went to the join and every packed count was written beside the documents."""
+    words = [f"w{i}" for i in range(40)]
+    pairs = [(i, " ".join([*words, f"x{i}"])) for i in range(2)] + [(None, " ".join([*words, "y"]))]
+    rows = [*pairs, *[(100 + i, " ".join(f"z{i}_{k}" for k in range(30))) for i in range(300)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = df.selectExpr("doc_id is null as unnamed", "coalesce(doc_id, xxhash64(text)) as key", "text as t")
+    left = {r.key for r in jaccard._likely(texts, texts.where("unnamed or key < 100")).collect()}
+    assert {r.key for r in texts.where("unnamed or key < 100").collect()} <= left and len(left) < 20
+    seen = jaccard.first_pass(spark.createDataFrame(rows + [(1000 + i, pairs[0][1]) for i in range(9)], df.schema), "doc_id", "text")
+    assert seen.where("n is not null").count() == len(rows) + 9
+    hot = seen.where("n is null").collect()
+    assert 0 < len(hot) <= 12 and all(r.entries > jaccard.FREQUENT for r in hot)
+    assert got(jaccard.similar_components(df.where("doc_id is not null"))) == plain([r for r in rows if r[0] is not None])
