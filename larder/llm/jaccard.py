@@ -6,12 +6,15 @@ result names for each the smallest document id it can reach by links.
 1. Equal sets form one class; everything below compares classes.
 2. Candidates: under any global order of shingles, linked sets share one of their first ``n - ceil(0.75 n) + 1``.  The
    order puts frequent shingles last (by hash among equals), so those prefixes meet in short lists.  Short lists give
-   all their pairs of fitting size; in a longer list all members are compared with one of them, the hub.
-   Pairs whose parity sketches differ in more cells than linked sets may differ in shingles are left out.
+   all their pairs of fitting size.  Pairs whose parity sketches differ in more cells than linked sets may differ in
+   shingles are left out.
 3. Verification: the global order is cut into ``FRAGMENTS`` ranges, each pair's overlap is counted in every fragment
    separately and the partial counts are summed.
-4. Long lists with one hub are put together (copies share most of their lists).  Members that are not yet connected are
-   compared again, with further hubs while that leaves many pairs and then pair by pair across components.  Pairs inside a component need no comparison: the components are exact.
+4. Long lists with one smallest class are put together (copies share most of their lists) and never written out as
+   pairs.  Their members' sets go, cut into tiles of bounded size, to tasks that keep apart what is connected so far:
+   pairs not yet connected are compared by sketches of ``SKETCH`` cells, then as sets, and only the links that connect
+   something are returned, fewer than the members.  Pairs inside a component need no comparison: the components are
+   exact.  Comparing sketches is the part that grows with the square of a list.
 
 The frequent shingles are broadcast: those with more than ``FREQUENT`` prefix entries, of which the threshold is doubled
 until at most ``BROADCAST`` are left (8 MB).  They only set the order; any choice gives the same links.
@@ -41,6 +44,8 @@ FRAGMENTS = 8
 FREQUENT = 4
 BROADCAST = 1 << 20
 SHORT = 8
+# Bytes of sets in a block of a long list; cells of the sketches that are compared there (a power of two).
+TILE, SKETCH = 16 << 20, 4096
 
 
 class ShingleSets:
@@ -219,14 +224,13 @@ def candidates(df: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
                 left = left[keys[left + gap] == keys[left]]
                 pairs.append((left, left + gap))
             for s, n in zip(starts[lengths > SHORT].tolist(), lengths[lengths > SHORT].tolist()):
-                pairs.append((np.full(n - 1, s), np.arange(s + 1, s + n)))  # the hub is the smallest class
                 lists.append(np.arange(s, s + n))
             a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
             fit = _fits(np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b]))
             both = np.unique(np.stack([names[a[fit]], names[b[fit]]], axis=1), axis=0) if fit.any() else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), *[pa.nulls(len(both), pa.int64())] * 3], names=columns)
             if lists:
-                # Lists with one hub are lists of the same group: their members are put together.
+                # Copies share most of their lists: those with the same smallest class, the hub, are put together.
                 hubs = np.concatenate([np.full(len(x), names[x[0]]) for x in lists])
                 at = np.concatenate(lists)
                 rows = np.unique(np.stack([hubs, names[at], sizes[at]], axis=1), axis=0)
@@ -295,10 +299,61 @@ def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return total.where(100 * F.col("both") >= PERCENT * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def _labelled(members: DataFrame, place: DataFrame) -> DataFrame:
-    return members.join(place, F.col("class") == F.col("node"), "left").select(
-        "list", "class", "n", F.coalesce("root", "class").alias("root")
-    )
+def tiles(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """The sets of long lists' members, by ``list`` and pair of blocks ``p`` <= ``q`` in which they are compared.
+
+    A list whose sets take more than ``TILE`` bytes is dealt by hash into blocks of about that size, and each pair of
+    blocks is a tile of its own.
+    """
+    blocks = members.groupBy("list").agg(F.ceil(F.sum(F.col("n") * 8 + SKETCH // 8) / TILE).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    each = dealt.select("list", "class", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    placed = each.select("list", "class", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    return placed.join(parts.select("class", "fragment", "shingles").hint("shuffle_hash"), "class")
+
+
+def _sketch(shingle_set: np.ndarray) -> np.ndarray:
+    """For each of ``SKETCH`` cells whether an odd number of shingles falls into it, packed into words."""
+    odd = np.bincount((shingle_set & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
+
+
+def spanning_links(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect all sets which links between a set of ``first`` and one of ``second`` connect.
+
+    A pair that found links connect already is not looked at; of the others those whose sketches allow a link are
+    compared as sets.  So the links found are fewer than the sets, however many pairs link.
+    """
+    sizes, label, links = np.array([len(s) for s in sets]), np.arange(len(sets)), []
+    sketches = np.array([_sketch(s) for s in sets])
+    for i in np.flatnonzero(first).tolist():
+        near = second & (label != label[i]) & _fits(np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i]))
+        at = np.flatnonzero(near)
+        apart = np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        # A similarity of 3/4 means that at most a seventh of both sizes differs.
+        for j in at[(100 + PERCENT) * apart <= (100 - PERCENT) * (sizes[at] + sizes[i])].tolist():
+            if label[j] != label[i]:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= PERCENT * (sizes[i] + sizes[j] - both):
+                    links.append((i, j))
+                    label[label == label[j]] = label[i]
+    return links
+
+
+def list_links(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links of classes (``a``, ``b``) that connect the members of each long list as all their links do."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["class", "fragment"])
+        begin = np.flatnonzero(np.concatenate([[True], np.diff(f["class"].to_numpy()) != 0]))
+        names, block = f["class"].to_numpy()[begin], f["block"].to_numpy()[begin]
+        pieces = f["shingles"].tolist()
+        sets = [np.concatenate(pieces[lo:hi]).view(np.uint64) for lo, hi in zip(begin, [*begin[1:], len(f)])]
+        found = spanning_links(sets, block == f["p"].iloc[0], block == f["q"].iloc[0])
+        pairs = np.sort(names[np.array(found, np.int64).reshape(-1, 2)], axis=1)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return tiles(members, parts).groupBy("list", "p", "q").applyInPandas(run, "a long, b long")
 
 
 def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,23 +368,8 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     members = stored(found.where("a is null").select("list", "class", "n").distinct(), "jaccard-lists")
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(members.select("class"))
     parts = stored(segments(df, classes, wanted, id_col, text_col), "jaccard-segments")
-    links = stored(verified(pairs, parts), "jaccard-links")
+    links = stored(verified(pairs, parts), "jaccard-links").union(stored(list_links(members, parts), "jaccard-links"))
     place = components(links)
-
-    entries, before = members.count(), None
-    while entries:
-        open_lists = _open(members, place)
-        left = open_lists.agg(F.sum("cross")).first()[0] or 0
-        if not left:
-            break
-        rows = stored(_labelled(members.join(open_lists.select("list"), "list", "left_semi"), place), "jaccard-open")
-        # Few pairs for what the lists hold, or another hub would not make them much fewer: compare what is left.
-        last = left <= 8 * entries or (before is not None and left > 0.5 * before)
-        links = stored(links.union(verified(plausible(_across(rows) if last else _from_hubs(rows), classes), parts)).distinct(), "jaccard-links")
-        place, before = components(links), left
-        if last:
-            break
-
     named = docs.join(place, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     smallest = named.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
     return named.join(smallest, "root", "left").select(
@@ -337,29 +377,5 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
-def _open(members: DataFrame, place: DataFrame) -> DataFrame:
-    """Lists with members in more than one component, and how many pairs across components they have."""
-    sizes = _labelled(members, place).groupBy("list", "root").agg(F.count("*").alias("g"))
-    per_list = sizes.groupBy("list").agg(F.sum("g").alias("all"), F.sum(F.col("g") * F.col("g")).alias("inside"))
-    return per_list.select("list", ((F.col("all") * F.col("all") - F.col("inside")) / 2).cast("long").alias("cross")).where("cross > 0")
-
-
-def _from_hubs(rows: DataFrame) -> DataFrame:
-    """One member of the smallest component of every list, with all members of other components."""
-    sizes = rows.groupBy("list", "root").agg(F.count("*").alias("g"), F.min(F.struct("class", "n")).alias("m"))
-    hub = sizes.groupBy("list").agg(F.min_by("m", F.struct("g", "root")).alias("h"), F.min_by("root", F.struct("g", "root")).alias("hub_root"))
-    return _ordered(rows.join(hub, "list").where("root <> hub_root").select("class", "n", F.col("h.class").alias("o"), F.col("h.n").alias("m")))
-
-
-def _across(rows: DataFrame) -> DataFrame:
-    other = rows.select("list", F.col("class").alias("o"), F.col("n").alias("m"), F.col("root").alias("s"))
-    return _ordered(rows.join(other, "list").where("root < s"))
-
-
-def _ordered(rows: DataFrame) -> DataFrame:
-    fit = 100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")
-    return rows.where(fit).select(F.least("class", "o").alias("a"), F.greatest("class", "o").alias("b")).distinct()
-
-
 def op6_jaccard(spark, folder: str) -> DataFrame:
     return similar_components(corpus(spark, folder))

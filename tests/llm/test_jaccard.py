@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from larder.llm import jaccard
@@ -121,3 +122,49 @@ def test_only_compared_texts_travel_and_only_hot_shingles_are_written(spark):
     hot = seen.where("n is null").collect()
     assert 0 < len(hot) <= 12 and all(r.entries > jaccard.FREQUENT for r in hot)
     assert got(jaccard.similar_components(df.where("doc_id is not null"))) == plain([r for r in rows if r[0] is not None])
+
+
+def test_links_that_connect_stay_fewer_than_the_members():
+    """Before, members of long lists were written out as pairs, with the square of the list's size."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 60, np.uint64)
+    sets = []
+    for _ in range(120):  # below and above the limit of 0.75 from one another
+        kept = rng.random(60) > rng.choice([0.05, 0.15])
+        sets.append(np.unique(np.concatenate([base[kept], rng.integers(0, 1 << 63, rng.integers(0, 9), np.uint64)])))
+    alike = lambda x, y: 4 * (both := len(np.intersect1d(x, y))) >= 3 * (len(x) + len(y) - both)
+
+    def classes(links):
+        root = list(range(len(sets)))
+        for i, j in links:
+            root = [root[i] if r == root[j] else r for r in root]
+        return [root.index(r) for r in root]
+
+    for first in (np.ones(120, bool), np.arange(120) < 50):
+        second = first if first.all() else ~first
+        every = [(i, j) for i in np.flatnonzero(first) for j in np.flatnonzero(second) if i != j and alike(sets[i], sets[j])]
+        found = jaccard.spanning_links(sets, first, second)
+        assert len(found) < len(sets) < len(every)
+        assert set(found) <= set(every) and classes(found) == classes(every)
+
+
+def test_long_lists_are_compared_in_tiles(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(60)] = f"x{rng.random()}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.candidates(df, "text", np.zeros(1, np.uint64)).collect()
+    lists = [(r["list"], r["class"], r.n) for r in found if r.a is None]
+    assert len(found) - len(lists) < 400 < len(lists)  # pairs of short lists only
+    monkeypatch.setattr(jaccard, "TILE", 4096)
+    members = spark.createDataFrame([(1, c, n) for c, n in {x[1:] for x in lists}], "list long, class long, n long")
+    parts = members.selectExpr("class", "0 as fragment", "array(class) as shingles")
+    tiles = jaccard.tiles(members, parts).groupBy("p", "q").count().collect()
+    blocks = 1 + max(r.q for r in tiles)
+    assert len(tiles) == blocks * (blocks + 1) // 2 > 30 and max(r["count"] for r in tiles) < members.count() / 3
+    assert got(jaccard.similar_components(df)) == plain(rows)
