@@ -127,7 +127,7 @@ _UNIT, _NAME = _PLAIN[b"<unit>"], _PLAIN[b"<name>"]
 class BothHashes(dict):
     """Numbers of raw words as a task's dictionary, and the template and plain hash of each number."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 1 << 18):
         super().__init__()
         self.limit, self.template, self.plain = limit, array("Q"), array("Q")
         self.slow = TemplateHashes(0), PlainHashes(0)

@@ -64,3 +64,12 @@ def test_nulls_repeats_empty_and_clashing_columns(spark):
     back = {r.doc_id: r.decoded for r in bpe.decode(bpe.encode(df, PATH), PATH).collect()}
     assert back[1] == LIBRARY.decode(LIBRARY.encode("a b").ids, skip_special_tokens=False) and back[2] == ""
     assert bpe.encode(df.limit(0), PATH).count() == 0
+
+
+def test_what_a_worker_keeps_is_packed_and_bounded():
+    """A worker keeps these stores for all later stages of a pipeline."""
+    from larder.llm import bpe
+
+    code = bpe.ForcedBoundaryCodec(bpe.public_tokenizers.path(bpe.WORD_BPE))
+    code.encode("the house, and the dog")
+    assert code.kept <= 1 << 17 and all(isinstance(ids, bytes) for ids in code.pieces.values())
