@@ -7,9 +7,10 @@ result names for each the smallest document id it can reach by links.
 2. Candidates: under any global order of shingles, linked sets share one of their first ``n - ceil(0.75 n) + 1``.  The
    order puts frequent shingles last (by hash among equals), so those prefixes meet in short lists.  Short lists give
    all their pairs of fitting size.  Pairs whose parity sketches differ in more cells than linked sets may differ in
-   shingles are left out.
+   shingles are left out: by 256 cells first, then, if both sets have more shingles, by as many cells as shingles.
 3. Verification: the global order is cut into ``FRAGMENTS`` ranges, each pair's overlap is counted in every fragment
-   separately and the partial counts are summed.
+   separately and the partial counts are summed.  Sets travel only where their class is used: as one or the other side
+   of a pair, or in a long list.
 4. Long lists with one smallest class are put together (copies share most of their lists) and never written out as
    pairs.  Their members' sets go, cut into tiles of bounded size, to tasks that keep apart what is connected so far:
    pairs not yet connected are compared by sketches of ``SKETCH`` cells, then as sets, and only the links that connect
@@ -44,6 +45,8 @@ FRAGMENTS = 8
 FREQUENT = 4
 BROADCAST = 1 << 20
 SHORT = 8
+# Cells of the parities that every set has.
+PARITIES = 256
 # Bytes of sets in a block of a long list; cells of the sketches that are compared there (a power of two).
 TILE, SKETCH = 16 << 20, 4096
 
@@ -81,11 +84,31 @@ def _named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
 
 
-PARITY = "p0 long, p1 long, p2 long, p3 long"
+def _sketch(shingle_set: np.ndarray, cells: int) -> np.ndarray:
+    """For each of the cells (a power of two) whether an odd number of shingles falls into it, packed into words."""
+    odd = np.bincount((shingle_set & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
+
+
+def _own_sketch(shingle_set: np.ndarray) -> bytes | None:
+    """A sketch with as many cells as shingles, up to the next power of two; none where the parities have as many."""
+    n = len(shingle_set)
+    return _sketch(shingle_set, 1 << (n - 1).bit_length()).tobytes() if n > PARITIES else None
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """Cells in which two sketches differ; the halves of the larger one are united until both have the same cells."""
+    x, y = (np.frombuffer(s, np.uint64) for s in sorted((x, y), key=len))
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
+PARITY = "p0 long, p1 long, p2 long, p3 long, sketch binary"
 
 
 def first_pass(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Set size ``n``, ``class`` and parities of every document by ``id`` (or ``stand_in``); where ``n`` is NULL, a ``shingle``
+    """Set size ``n``, ``class``, parities and sketch of every document by ``id`` (or ``stand_in``); where ``n`` is NULL, a ``shingle``
     with more than ``FREQUENT`` prefix entries under the plain hash order, and their number.
 
     Texts are cut into shingles once, so documents travel with the packed counts, dealt evenly; only what is left of the
@@ -93,7 +116,7 @@ def first_pass(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     buckets = how_many(df)
     fields = [("bucket", pa.int64()), ("id", pa.int64()), ("stand_in", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), *[(f"p{k}", pa.int64()) for k in range(4)]]
-    fields += [("keys", pa.binary()), ("counts", pa.binary())]
+    fields += [("sketch", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())]
     schema = pa.schema(fields)
 
     def run(batches):
@@ -104,16 +127,17 @@ def first_pass(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             own = [pa.array(np.arange(len(found)) % buckets), batch.column(0), batch.column(1), pa.array(sizes, pa.int64())]
             parity = np.array([_parity(s) for s in found], np.int64).reshape(len(found), 4)
             own += [pa.array([_name(s) for s in found], pa.int64()), *[pa.array(parity[:, k]) for k in range(4)]]
-            yield pa.RecordBatch.from_arrays([*own, *[pa.nulls(len(found), t) for _, t in fields[9:]]], schema=schema)
+            own += [pa.array([_own_sketch(s) for s in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*own, *[pa.nulls(len(found), t) for _, t in fields[10:]]], schema=schema)
             parts = [s[: _prefix_length(len(s))] for s in found if len(s)]
             if parts:
                 keys, counts = np.unique(np.concatenate(parts), return_counts=True)
                 bucket, *packed = zip(*split(buckets, keys, keys, counts.astype("<u4")))
-                nothing = [pa.nulls(len(bucket), pa.int64())] * 8
+                nothing = [pa.nulls(len(bucket), t) for _, t in fields[1:10]]
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), *nothing, *[pa.array(c, pa.binary()) for c in packed]], schema=schema)
 
-    names = [name for name, _ in fields[1:9]]
-    out = pa.schema([*fields[1:9], ("shingle", pa.int64()), ("entries", pa.int64())])
+    names = [name for name, _ in fields[1:10]]
+    out = pa.schema([*fields[1:10], ("shingle", pa.int64()), ("entries", pa.int64())])
 
     def meet(batches):
         now, keys, counts = None, [], []
@@ -145,7 +169,7 @@ def _hot(keys: list[bytes], counts: list[bytes], out: pa.Schema) -> pa.RecordBat
     found, at = np.unique(np.frombuffer(b"".join(keys), "<u8"), return_inverse=True)
     total = np.bincount(at, np.frombuffer(b"".join(counts), "<u4")).astype(np.int64)
     hot = total > FREQUENT
-    nothing = [pa.nulls(int(hot.sum()), pa.int64())] * 8
+    nothing = [pa.nulls(int(hot.sum()), t) for t in out.types[:-2]]
     return pa.RecordBatch.from_arrays([*nothing, pa.array(found[hot].view(np.int64)), pa.array(total[hot])], schema=out)
 
 
@@ -250,10 +274,37 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
+def sketched(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose own sketches allow a link; parities have too few cells to tell large sets apart."""
+    side = lambda c: classes.select(F.col("class").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+
+    def run(frames):
+        for f in frames:
+            both = zip(f["na"] + f["nb"], f["sa"], f["sb"])
+            may = [x is None or y is None or (100 + PERCENT) * _apart(x, y) <= (100 - PERCENT) * n for n, x, y in both]
+            yield f.loc[may, ["a", "b"]]
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a long, b long")
+
+
+LEFT, RIGHT, LISTED = 1, 2, 4
+
+
+def uses(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The classes whose sets are needed, with what for (``use``): sides of pairs, members of long lists."""
+    use = lambda df, c, bit: df.select(F.col(c).alias("class"), F.lit(bit).alias("use"))
+    every = use(pairs, "a", LEFT).union(use(pairs, "b", RIGHT)).union(use(members, "class", LISTED))
+    return every.groupBy("class").agg(F.bit_or("use").alias("use"))
+
+
+def used(parts: DataFrame, bit: int) -> DataFrame:
+    return parts.where(F.col("use").bitwiseAND(bit) != 0)
+
+
 def segments(df: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The sets of the wanted classes, cut into fragments of the global order: class, size, fragment, shingles."""
-    kinds = classes.join(wanted.select("class").distinct(), "class")
-    reps = stored(kinds.select(F.col("rep").isNull().alias("unnamed"), F.coalesce("rep", "stand_in").alias("key"), "class"), "jaccard-reps")
+    """The sets of the wanted classes, cut into fragments of the global order: class, size, use, fragment, shingles."""
+    kinds = classes.join(wanted, "class")
+    reps = stored(kinds.select(F.col("rep").isNull().alias("unnamed"), F.coalesce("rep", "stand_in").alias("key"), "class", "use"), "jaccard-reps")
     texts = _named(df, id_col, text_col).select(
         F.col("id").isNull().alias("unnamed"), F.coalesce("id", F.xxhash64("t")).alias("key"), "t"
     )
@@ -264,16 +315,16 @@ def segments(df: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str,
         for f in frames:
             for lo in range(0, len(f), 256):
                 out, part = [], f.iloc[lo : lo + 256]
-                for wanted_class, s in zip(part["class"], map(sets.of, part["t"])):
+                for wanted_class, use, s in zip(part["class"], part["use"], map(sets.of, part["t"])):
                     # A key may stand for several texts or rows; one of them has the class, and counts once.
                     if _name(s) == wanted_class and wanted_class not in seen:
                         seen.add(wanted_class)
                         cuts = np.split(s.view(np.int64), np.searchsorted(s, edges))
-                        out += [(wanted_class, len(s), k, p) for k, p in enumerate(cuts) if len(p)]
-                yield pd.DataFrame(out, columns=["class", "n", "fragment", "shingles"])
+                        out += [(wanted_class, len(s), use, k, p) for k, p in enumerate(cuts) if len(p)]
+                yield pd.DataFrame(out, columns=["class", "n", "use", "fragment", "shingles"])
 
-    chosen = _likely(texts, reps).join(reps.hint("shuffle_hash"), ["unnamed", "key"]).select("class", "t")
-    return chosen.mapInPandas(cut, "class long, n long, fragment int, shingles array<long>")
+    chosen = _likely(texts, reps).join(reps.hint("shuffle_hash"), ["unnamed", "key"]).select("class", "use", "t")
+    return chosen.mapInPandas(cut, "class long, n long, use int, fragment int, shingles array<long>")
 
 
 def _likely(texts: DataFrame, reps: DataFrame) -> DataFrame:
@@ -290,8 +341,8 @@ def _likely(texts: DataFrame, reps: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """The pairs of classes that link: partial overlaps by fragment, summed for each pair."""
-    left = parts.select(F.col("class").alias("a"), F.col("n").alias("na"), "fragment", F.col("shingles").alias("xa"))
-    right = parts.select(F.col("class").alias("b"), F.col("n").alias("nb"), "fragment", F.col("shingles").alias("xb"))
+    left = used(parts, LEFT).select(F.col("class").alias("a"), F.col("n").alias("na"), "fragment", F.col("shingles").alias("xa"))
+    right = used(parts, RIGHT).select(F.col("class").alias("b"), F.col("n").alias("nb"), "fragment", F.col("shingles").alias("xb"))
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
         "a", "b", "na", "nb", F.size(F.array_intersect("xa", "xb")).alias("part")
     )
@@ -312,12 +363,6 @@ def tiles(members: DataFrame, parts: DataFrame) -> DataFrame:
     return placed.join(parts.select("class", "fragment", "shingles").hint("shuffle_hash"), "class")
 
 
-def _sketch(shingle_set: np.ndarray) -> np.ndarray:
-    """For each of ``SKETCH`` cells whether an odd number of shingles falls into it, packed into words."""
-    odd = np.bincount((shingle_set & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
-    return np.packbits(odd.astype(bool)).view(np.uint64)
-
-
 def spanning_links(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
     """Links that connect all sets which links between a set of ``first`` and one of ``second`` connect.
 
@@ -325,7 +370,7 @@ def spanning_links(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray
     compared as sets.  So the links found are fewer than the sets, however many pairs link.
     """
     sizes, label, links = np.array([len(s) for s in sets]), np.arange(len(sets)), []
-    sketches = np.array([_sketch(s) for s in sets])
+    sketches = np.array([_sketch(s, SKETCH) for s in sets])
     for i in np.flatnonzero(first).tolist():
         near = second & (label != label[i]) & _fits(np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i]))
         at = np.flatnonzero(near)
@@ -360,15 +405,15 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Id, ``n_shingles`` and ``component_id`` of every document."""
     seen = first_pass(df, id_col, text_col)
     docs = seen.where("n is not null").select("id", "n", "class")
-    kinds = seen.where("n > 0").groupBy("class", "n", "p0", "p1", "p2", "p3").agg(F.min("id").alias("rep"), F.min("stand_in").alias("stand_in"))
+    kinds = seen.where("n > 0").groupBy("class", "n", "p0", "p1", "p2", "p3", "sketch").agg(F.min("id").alias("rep"), F.min("stand_in").alias("stand_in"))
     classes = stored(kinds, "jaccard-classes")
     frequent = frequent_shingles(seen.where("n is null").select("shingle", "entries"))
     found = candidates(df, text_col, frequent)
-    pairs = stored(plausible(found.where("a is not null").select("a", "b").distinct(), classes), "jaccard-pairs")
+    near = plausible(found.where("a is not null").select("a", "b").distinct(), classes)
+    pairs = stored(sketched(near, classes), "jaccard-pairs")
     members = stored(found.where("a is null").select("list", "class", "n").distinct(), "jaccard-lists")
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(members.select("class"))
-    parts = stored(segments(df, classes, wanted, id_col, text_col), "jaccard-segments")
-    links = stored(verified(pairs, parts), "jaccard-links").union(stored(list_links(members, parts), "jaccard-links"))
+    parts = stored(segments(df, classes, uses(pairs, members), id_col, text_col), "jaccard-segments")
+    links = stored(verified(pairs, parts), "jaccard-links").union(stored(list_links(members, used(parts, LISTED)), "jaccard-links"))
     place = components(links)
     named = docs.join(place, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     smallest = named.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))

@@ -168,3 +168,29 @@ def test_long_lists_are_compared_in_tiles(spark, monkeypatch):
     blocks = 1 + max(r.q for r in tiles)
     assert len(tiles) == blocks * (blocks + 1) // 2 > 30 and max(r["count"] for r in tiles) < members.count() / 3
     assert got(jaccard.similar_components(df)) == plain(rows)
+
+
+def test_pairs_of_large_sets_are_told_apart_before_their_sets_travel(spark):
+    """Before, 256 cells let every pair of sets with more than about 450 shingles pass, and all sets went to both sides."""
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    rows = []
+    for g, n in enumerate([300, 900, 1700]):
+        shared = words(f"s{g}x", n // 2)
+        rows += [(len(rows) + k, " ".join(shared + words(f"u{g}x{k}x", n // 2))) for k in range(6)]  # similar by a third
+        base = words(f"b{g}x", n)
+        rows += [(len(rows) + k, " ".join(base[: n - 20 * k] + words(f"c{g}x{k}x", 20 * k))) for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = jaccard.first_pass(df, "doc_id", "text").where("n is not null")
+    classes = seen.select("id", "class", "n", "p0", "p1", "p2", "p3", "sketch")
+    ids = {r["class"]: r.id for r in classes.collect()}
+    group = {d: d // 9 for d in ids.values()}
+    every = [(a, b) for a in ids for b in ids if a < b and group[ids[a]] == group[ids[b]]]
+    pairs = spark.createDataFrame(every, "a long, b long")
+    near = jaccard.plausible(pairs, classes)
+    left = {tuple(sorted((ids[r.a], ids[r.b]))) for r in jaccard.sketched(near, classes).collect()}
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, t in rows for w in [t.split()]}
+    linked = {(a, b) for a in sets for b in sets if a < b and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])}
+    assert linked and linked <= left and not any(a % 9 < 6 for a, _ in left) and near.count() > 2 * len(left)
+    wanted = {r["class"]: r.use for r in jaccard.uses(pairs.where("false").union(spark.createDataFrame([(1, 2), (2, 3)], pairs.schema)), spark.createDataFrame([(9, 3, 5)], "list long, class long, n long")).collect()}
+    assert wanted == {1: jaccard.LEFT, 2: jaccard.LEFT | jaccard.RIGHT, 3: jaccard.RIGHT | jaccard.LISTED}
+    assert got(jaccard.similar_components(df)) == plain(rows)
