@@ -73,3 +73,36 @@ def test_what_a_worker_keeps_is_packed_and_bounded():
     code = bpe.ForcedBoundaryCodec(bpe.public_tokenizers.path(bpe.WORD_BPE))
     code.encode("the house, and the dog")
     assert code.kept <= 1 << 17 and all(isinstance(ids, bytes) for ids in code.pieces.values())
+
+
+def test_texts_together_get_the_ids_of_each_alone(monkeypatch):
+    path = public_tokenizers.path(bpe.WORD_BPE)
+    texts = [
+        "", " \t ", "The house, the HOUSE. don't 'stuff '' ''s x's's 'll'd 5's", "a\x0bb\x1cc d\u0085e\x00 ²¼ª", "Ⱥ Ⱦȿ İstanbul ÉÑ straße 漢字 ́e",
+        "a" * 31 + " " + "a" * 33 + " " + "!" * 200 + " " + "éa" * 40, "<|endoftext|>x <|startoftext|> <|no|>", "12,345.67###$$$% -- word-word... word", "aaaaaaa abababab",
+    ]
+    alone, together = bpe.ForcedBoundaryCodec(path), bpe.ForcedBoundaryCodec(path, kept=12)
+    assert together.encode_all(texts) == [alone.encode(t) for t in texts]
+    assert [together.encode_all([t]) for t in texts] == [[alone.encode(t)] for t in texts]
+    assert len(together.together) <= 40 and together.encode_all([]) == []
+    monkeypatch.setattr(together, "_word", None)  # words of Latin letters are not merged one at a time
+    assert together.encode_all(["Some neverseenwords, thatéare new2."]) == [alone.encode("Some neverseenwords, thatéare new2.")]
+
+
+def test_every_piece_merges_as_the_library_does():
+    rng = np.random.default_rng(5)
+    code = bpe.ForcedBoundaryCodec(public_tokenizers.path(bpe.WORD_BPE))
+    words = ["".join(rng.choice(list("aeinorst"), n)) for n in rng.integers(1, 40, 3000)]
+    got = code.encode_all(words)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [[t.id for t in code.final.tokenize(w)] for w in words]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abstrvemld'’.,!# 15\n\t\x1cÉéßȺİǅ²ª­́漢") | st.characters(exclude_categories=["Cs"]), max_size=30), max_size=4))
+def test_any_texts_together(texts):
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in bpe.codec(PATH).encode_all(texts)] == want
+
+
+def test_cases_together():
+    assert bpe.codec(PATH).encode_all(CASES) == [bpe.codec(PATH).encode(t) for t in CASES]
