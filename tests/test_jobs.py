@@ -318,3 +318,14 @@ def test_cb_top_equals_the_best_of_all_scores(spark, rows, k):
     want = R.top_k(every, [*on, "user"], [F.desc("score"), F.col("item")], k)
     cols = ("company", "week", "user", "item", "rank", "score")
     assert rows(R.cb_top(p, u, c, on, k), *cols) == rows(want, *cols) and len(rows(want)) >= 12 * min(k, 25)
+
+
+def test_lists_of_purchases_are_merged_where_the_user_is(spark):
+    """A purchase was a row for every entry of its item's lists; now users meet the lists within their block."""
+    rnd = np.random.default_rng(8)
+    e = spark.createDataFrame([(i, rnd.normal(size=4).tolist()) for i in range(24)], "item int, embedding array<double>")
+    menus = spark.createDataFrame([(i % 3, i) for i in range(24)], "week int, item int")
+    history = [(u, int(i)) for u in range(50) for i in rnd.choice(24, 6, replace=False)]
+    out = R.menu_top_n(spark.createDataFrame(history, "user int, item int"), e, menus, ["week"], 8)
+    assert out.count() == 50 * 24
+    assert "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()
