@@ -329,3 +329,34 @@ def test_lists_of_purchases_are_merged_where_the_user_is(spark):
     out = R.menu_top_n(spark.createDataFrame(history, "user int, item int"), e, menus, ["week"], 8)
     assert out.count() == 50 * 24
     assert "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_vectors_of_purchases_are_pooled_where_the_user_is(spark):
+    """Each purchase carried its vector, or the sums of it, through the shuffle."""
+    h = spark.createDataFrame([(u, u % 4, 202401, "a") for u in range(50)], "user int, item int, year_week int, concept string")
+    e = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(4)], "item int, embedding array<double>")
+    out = R.user_profile(h, spark.createDataFrame([(u, "a") for u in range(50)], "user int, concept string"), e, 2)
+    assert out.count() == 50
+    assert "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_users_whose_rows_go_on_in_the_next_batch(spark, batch):
+    rnd = np.random.default_rng(5)
+    vectors = {i: rnd.normal(size=3) for i in range(12)}
+    vectors[4][1] = None
+    history = [(u, int(i)) for u in (None, 1, 2, 2**60 + 1) for i in rnd.integers(0, 14, 40)] + [(7, 13)]
+    e = spark.createDataFrame([(i, [None if math.isnan(x) else float(x) for x in v]) for i, v in [*vectors.items(), (3, vectors[3])]], "item int, embedding array<double>")
+    h = spark.createDataFrame([(u, i, 202401, "a") for u, i in history], "user long, item int, year_week int, concept string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = {r.user: r for r in R.user_profile(h, spark.createDataFrame([(1, "a")], "user long, concept string"), e, 3).collect()}
+        best = R.menu_top_n(h, e, spark.createDataFrame([(None, i) for i in range(12)], "week int, item int"), ["week"], 3).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(got) == {None, 1, 2, 2**60 + 1}
+    for u, r in got.items():
+        mine = [vectors[i] for w, i in history if w == u and i < 12 for _ in range(1 + (i == 3))]
+        assert r.n_items == len(mine)
+        assert r.mean_vector == pytest.approx(np.nansum(mine, axis=0) / len(mine)) and r.max_vector == pytest.approx(np.nanmax(mine, axis=0))
+    assert {r.user for r in best} == {1, 2, 2**60 + 1} and len(best) == 9
