@@ -360,3 +360,29 @@ def test_users_whose_rows_go_on_in_the_next_batch(spark, batch):
         assert r.n_items == len(mine)
         assert r.mean_vector == pytest.approx(np.nansum(mine, axis=0) / len(mine)) and r.max_vector == pytest.approx(np.nanmax(mine, axis=0))
     assert {r.user for r in best} == {1, 2, 2**60 + 1} and len(best) == 9
+
+
+@pytest.fixture
+def user_frames(spark):
+    """Profiles, users, candidates and purchases, with joins that Spark does not turn into broadcasts."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    ratings = spark.createDataFrame([(u, f"d{(u * 7 + i) % 9}", i % 5 - 2) for u in range(40) for i in range(6)], "user int, item string, rating int")
+    tags = spark.createDataFrame([(u % 3, f"d{i}", f"t{(i * k) % 4}") for u in range(3) for i in range(9) for k in (1, 2)], "menu int, item string, tag string")
+    yield R.cb_train(ratings, tags), spark.createDataFrame([(u, u % 3) for u in range(40)], "user int, menu int"), tags, ratings
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
+
+
+def dealt_by_user_and_more(df):
+    """The shuffles of a plan by the user and further columns."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "hashpartitioning(" in line and "user#" in line and line.split("hashpartitioning(")[1].count("#") > 1]
+
+
+def test_scores_are_not_dealt_again(spark, user_frames):
+    profiles, users, tags, ratings = user_frames
+    items = tags.select("item", F.lit("x").alias("main_ingredient"), F.array(F.lit("a")).alias("allergens"), F.lit(1).alias("weeks_since_last")).distinct()
+    likes = users.select("user", F.array(F.lit("b")).alias("allergens"), F.array(F.lit("x")).alias("unwanted"))
+    final = R.adjust_scores(R.cb_score(profiles, users, tags, ["menu"]).drop("menu"), ratings, items, likes)
+    assert dealt_by_user_and_more(final) == []
+    assert final.count() == 40 * 9
