@@ -386,3 +386,11 @@ def test_scores_are_not_dealt_again(spark, user_frames):
     final = R.adjust_scores(R.cb_score(profiles, users, tags, ["menu"]).drop("menu"), ratings, items, likes)
     assert dealt_by_user_and_more(final) == []
     assert final.count() == 40 * 9
+
+
+def test_lists_and_their_precision_are_not_dealt_again(spark, user_frames):
+    profiles, users, tags, ratings = user_frames
+    best = R.recommendations(R.cb_score(profiles, users, tags, ["menu"]), ["user"], "score", 3)
+    out = R.precision_at_k(best, ratings, ["user"])
+    assert dealt_by_user_and_more(out) == []
+    assert {(r.n_purchased, r.n_purchased_recommendations <= 3) for r in out.collect()} == {(6, True)}
