@@ -394,3 +394,11 @@ def test_lists_and_their_precision_are_not_dealt_again(spark, user_frames):
     out = R.precision_at_k(best, ratings, ["user"])
     assert dealt_by_user_and_more(out) == []
     assert {(r.n_purchased, r.n_purchased_recommendations <= 3) for r in out.collect()} == {(6, True)}
+
+
+@pytest.mark.parametrize("k", [2, 20])
+def test_best_of_menus_are_not_dealt_again(spark, user_frames, k):
+    profiles, users, tags, _ = user_frames
+    out = R.cb_top(profiles, users, tags, ["menu"], k)
+    assert dealt_by_user_and_more(out) == []
+    assert out.count() == 40 * min(k, 9)
