@@ -27,23 +27,31 @@ def _tag(tokens: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
     return tokens.join(vocabulary.select("token", "tag").distinct(), "token").select(key, "tag").distinct()
 
 
+def _listed(tokens: DataFrame, key: str, mapping: Mapping[str, Sequence[str]], fits) -> DataFrame:
+    """Tags of the job's fixed keywords that fit the tokens.
+
+    Callers leave only tokens that fit some keyword: Spark takes such a filter below the distinct of the tokens, so the
+    words of the rows are not shuffled.
+    """
+    hits = F.filter(_keywords(mapping), lambda k: fits(F.col("token"), k["keyword"]))
+    return tokens.select(key, F.explode(hits).alias("k")).select(key, "k.tag").distinct()
+
+
 def exact_tags(tokens: DataFrame, key: str, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
     """Tags whose keyword is a token of the row.  ``tokens``: key, token (distinct)."""
-    pairs = tokens.select("token").distinct().select(
-        "token", F.explode(F.filter(_keywords(mapping), lambda k: k["keyword"] == F.col("token"))).alias("k")
-    )
-    return _tag(tokens, pairs.select("token", "k.tag"), key)
+    known = tokens.where(F.col("token").isin(sorted({k for ks in mapping.values() for k in ks})))
+    return _listed(known, key, mapping, lambda token, keyword: token == keyword)
 
 
 def substring_tags(tokens: DataFrame, key: str, mapping: Mapping[str, Sequence[str]], penalties: Sequence[str]) -> DataFrame:
     """Tags whose keyword is part of a token that holds none of the penalty words."""
-    words = tokens.select("token").distinct()
+    words = tokens
     for p in penalties:
         words = words.where(~F.col("token").contains(p))
-    pairs = words.select(
-        "token", F.explode(F.filter(_keywords(mapping), lambda k: F.col("token").contains(k["keyword"]))).alias("k")
-    )
-    return _tag(tokens, pairs.select("token", "k.tag"), key)
+    part = F.lit(False)
+    for k in sorted({k for ks in mapping.values() for k in ks}):
+        part = part | F.col("token").contains(k)
+    return _listed(words.where(part), key, mapping, lambda token, keyword: token.contains(keyword))
 
 
 def fuzzy_tags(

@@ -402,3 +402,19 @@ def test_best_of_menus_are_not_dealt_again(spark, user_frames, k):
     out = R.cb_top(profiles, users, tags, ["menu"], k)
     assert dealt_by_user_and_more(out) == []
     assert out.count() == 40 * min(k, 9)
+
+
+def test_only_tokens_that_bring_a_tag_are_shuffled(spark, rows):
+    docs = spark.createDataFrame([(1, ["red", "ring"]), (1, ["red"]), (2, ["ring", "string"]), (3, ["sea"]), (None, ["red"])], "id int, words array<string>")
+    tokens = docs.select("id", F.explode("words").alias("token")).distinct()
+    mapping = {"colour": ["red", "blue"], "round": ["ring"], "warm": ["red"]}
+    exact, part = G.exact_tags(tokens, "id", mapping), G.substring_tags(tokens, "id", mapping, ["st"])
+    for df in (exact, part):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan
+        # Read upwards, the words are filtered before the first shuffle.
+        assert "token" in plan.split("Exchange")[-1].split("Filter")[1]
+    want = [(None, "colour"), (None, "warm"), (1, "colour"), (1, "round"), (1, "warm"), (2, "round")]
+    assert rows(exact) == want and rows(part) == want
+    assert rows(G.substring_tags(tokens, "id", mapping, [])) == want
+    assert rows(G.missing_tags(tokens, docs, "id", {"calm": ["red", "ring"]})) == [(None, "calm"), (3, "calm")]
