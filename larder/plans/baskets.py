@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.arrays import has_intersection
 from larder.functions.dates import recency_score, year_week_diff
 from larder.operators.chunked import with_totals
+from larder.session import dealt, join_where_dealt
 
 
 def user_vectors(baskets: DataFrame, customer: str, scalars: Sequence[str], flags: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -141,6 +142,14 @@ class CalorieConcepts:
     points_feature: str = "is_roede_percentage"
 
 
+def _with_sums(df: DataFrame, part: Sequence[str], **aggs: Column) -> DataFrame:
+    """Attach totals of a customer's few rows.
+
+    A window, as a total joined back would hold the plan before it twice: some steps on, the plan is too large for the driver.
+    """
+    return df.withColumns({n: e.over(Window.partitionBy(*part)) for n, e in aggs.items()})
+
+
 def add_variation(v: DataFrame, groups: Mapping[str, tuple[float, Sequence[str]]], where: Column) -> DataFrame:
     """Variation for customers who ask for none: groups of features whose importances ``i`` are all 0 get a target.
 
@@ -151,7 +160,7 @@ def add_variation(v: DataFrame, groups: Mapping[str, tuple[float, Sequence[str]]
     """
     name = lambda group: f"__m_{group}"
     tops = {name(g): F.max(F.when(F.col("feature").isin(list(fs)), F.col("i"))) for g, (_, fs) in groups.items()}
-    w = with_totals(v, ["customer"], **tops)
+    w = _with_sums(v, ["customer"], **tops)
     missing = {g: where & F.coalesce(F.col(name(g)) == 0, F.lit(False)) for g in groups}
     n = sum((m.cast("int") for m in missing.values()), F.lit(0))
     i, t = F.col("i"), F.col("t")
@@ -159,7 +168,7 @@ def add_variation(v: DataFrame, groups: Mapping[str, tuple[float, Sequence[str]]
         hit = missing[g] & F.col("feature").isin(list(features))
         i = F.when(hit, F.try_divide(F.lit(1.0), n * len(features))).otherwise(i)
         t = F.when(hit, F.lit(float(target))).otherwise(t)
-    w = with_totals(w.withColumns({"i": i, "t": t}), ["customer"], __s=F.sum("i"))
+    w = _with_sums(w.withColumns({"i": i, "t": t}), ["customer"], __s=F.sum("i"))
     return w.withColumn("i", F.when(where, F.coalesce(F.try_divide("i", "__s"), F.lit(0.0))).otherwise(F.col("i"))).select(*v.columns)
 
 
@@ -209,20 +218,26 @@ def blend_vectors(
     ``variation`` (groups of ``add_variation``) is for customers without history.  ``calorie`` sets the calorie features:
     without history before the fixed features are blended in, with history at the very end, so that those features
     outweigh the rest and the sum is above 1.
+
+    Rows are dealt by customer once, and no step holds the plan before it twice.
     """
-    c = with_totals(concepts, ["customer", "concept"], __s=F.sum("importance"))
+    join_where_dealt(concepts.sparkSession)
+    concepts = dealt(concepts, "customer")
+    c = _with_sums(concepts, ["customer", "concept"], __s=F.sum("importance"))
     c = c.withColumn("i", F.col("importance") / F.col("__s"))
     base = c.groupBy("customer", "feature").agg(
         F.coalesce(F.avg(F.when(F.col("i") > 0, F.col("i"))), F.lit(0.0)).alias("i"),
         F.coalesce(F.try_divide(F.sum(F.col("i") * F.col("target")), F.sum("i")), F.lit(0.0)).alias("t"),
     )
-    norm = lambda df: with_totals(df, ["customer"], __s=F.sum("i")).withColumn(
+    norm = lambda df: _with_sums(df, ["customer"], __s=F.sum("i")).withColumn(
         "i", F.coalesce(F.try_divide("i", "__s"), F.lit(0.0))
     ).drop("__s")
     base = norm(base)
-    h = history.select("customer", "feature", F.col("importance").alias("hi"), F.col("target").alias("ht"))
-    known = h.select("customer").distinct().withColumn("has_history", F.lit(True))
-    j = base.join(known, "customer", "left").join(h, ["customer", "feature"], "left")
+    h = history.select("customer", "feature", F.col("importance").alias("hi"), F.col("target").alias("ht"), F.lit(True).alias("__h"))
+    j = base.withColumn("__b", F.lit(True)).join(dealt(h, "customer"), ["customer", "feature"], "full")
+    # History of any feature counts; the rows of features that no concept has go after that.
+    known = F.col("customer").isNotNull() & F.coalesce(F.max("__h").over(Window.partitionBy("customer")), F.lit(False))
+    j = j.withColumn("has_history", known).where("__b")
     blended = (F.col("i") + history_weight * F.coalesce("hi", F.lit(0.0))) / (1 + history_weight)
     use = F.coalesce("has_history", F.lit(False))
     v = j.select(
@@ -245,9 +260,19 @@ def blend_vectors(
             for f, (i, t) in static.items()
         ]
     )
-    s = v.select("customer", "has_history").distinct().withColumn("__f", F.explode(fixed))
-    s = s.select("customer", "has_history", "__f.feature", "__f.si", "__f.st")
-    m = v.join(s, ["customer", "has_history", "feature"], "full").select(
+    # A customer's first row brings the fixed features that the customer has no row of; NULL customers are no one customer.
+    names = F.array(*[F.lit(f) for f in static])
+    same = F.when(F.col("customer").isNotNull() & F.array_contains(names, F.col("feature")), F.col("feature"))
+    own = Window.partitionBy("customer", "has_history")
+    m = v.withColumns({"__met": F.collect_set(same).over(own), "__n": F.row_number().over(own.orderBy("feature"))})
+    row = F.struct("feature", "i", "t", F.try_element_at(F.filter(fixed, lambda x: x["feature"] == same), F.lit(1)).alias("f"))
+    none = F.lit(None).cast("double")
+    more = F.transform(
+        F.filter(fixed, lambda x: ~F.array_contains("__met", x["feature"])),
+        lambda x: F.struct(x["feature"].alias("feature"), none.alias("i"), none.alias("t"), x.alias("f")),
+    )
+    m = m.withColumn("__x", F.explode(F.when(F.col("__n") == 1, F.concat(F.array(row), more)).otherwise(F.array(row))))
+    m = m.select("customer", "has_history", "__x.feature", "__x.i", "__x.t", "__x.f.si", "__x.f.st").select(
         "customer",
         "feature",
         "has_history",

@@ -418,3 +418,17 @@ def test_only_tokens_that_bring_a_tag_are_shuffled(spark, rows):
     assert rows(exact) == want and rows(part) == want
     assert rows(G.substring_tags(tokens, "id", mapping, [])) == want
     assert rows(G.missing_tags(tokens, docs, "id", {"calm": ["red", "ring"]})) == [(None, "calm"), (3, "calm")]
+
+
+def test_blend_holds_no_step_twice(spark):
+    history = spark.createDataFrame([(5, "fish", 1.0, 0.25), (6, "sea", 1.0, 0.5), (None, "fish", 1.0, 1.0)], "customer int, feature string, importance double, target double")
+    chosen = _concept_vectors(spark, {2: ["low"], 5: ["quick"], 6: ["points"], None: ["quick"]})
+    out = B.blend_vectors(
+        chosen, history, {"mean_rank": (1.0, 0.0), "rice": (3.0, 1.0)}, variation={"x": (1.0, ["fish"])}, calorie=B.CalorieConcepts("low", "veg", "points")
+    )
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 4  # concepts, history and twice the roles
+    got = {(r.customer, r.feature): r for r in out.collect()}
+    assert len(got) == out.count() - 1 == 4 * 6  # fixed features join the concepts', but a missing customer is no one customer
+    assert [got[c, "fish"].has_history for c in (2, 5, 6, None)] == [False, True, True, False]
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
