@@ -187,3 +187,52 @@ def test_places_of_hashes():
     for values in (many[:0], many[:1], many, np.array([0, 1, 2, 3, 2**64 - 1], np.uint64)):
         keys = np.concatenate([values, many, rng.integers(0, 2**64, 5000, dtype=np.uint64)])
         assert (lm_score.sorted_places(values)(keys) == np.searchsorted(values, keys)).all()
+
+
+def whole_model():
+    m = AttentionModel(30, np.arange(30)[::-1].astype(float), head=6, tail=3, size=4, seed=2, whole=True)
+    m.params = {k: v.astype(np.float64) for k, v in m.params.items()}
+    m.params["r"][:] = np.random.default_rng(4).normal(size=2 * STRIDE)
+    m.params["f"][:] = -0.7
+    return m
+
+
+def whole_one_by_one(m, ids):
+    """Each token's probability from all tokens before it; before the window they share one distance."""
+    p, total = m.params, 0.0
+    read = [m.start, *m.classes[ids[:-1]].tolist()]
+    for i, token in enumerate(ids):
+        near = max(0, i // STRIDE * STRIDE - STRIDE)
+        x = p["e"][read[: i + 1]]
+        place = np.append(np.full(near, p["f"][0]), p["r"][np.arange(i - near, -1, -1)])
+        scores = (x @ p["k"]) @ (x[-1] @ p["q"]) / math.sqrt(p["q"].shape[0]) + place
+        weights = np.exp(scores) / np.exp(scores).sum()
+        logits = np.concatenate([weights @ (x @ p["v"]), p["u"][read[i]]]) @ p["o"] + p["b"]
+        total += logits[m.classes[token]] - np.log(np.exp(logits).sum()) + m.within[token]
+    return total / math.log(10)
+
+
+def test_whole_texts_are_attended_to():
+    m, t = whole_model(), [*texts(), np.random.default_rng(9).integers(0, 30, 200)]
+    assert m.score(t, blocks_at_once=3) == pytest.approx([whole_one_by_one(m, x) for x in t], rel=1e-5)
+    other = t[-1].copy()
+    other[:8] = (other[:8] + 11) % 30
+    late = lambda x: m.log_probs(*m.windows([x])[:3], m.earlier([x]))[10:]
+    assert np.abs(late(t[-1]) - late(other)).max() > 1e-6
+
+
+def test_gradients_over_whole_texts_agree_with_differences():
+    m, t = whole_model(), texts()
+    w = (*m.windows(t)[:3], m.earlier(t))
+    _, grads = m.gradients(*w)
+    rng = np.random.default_rng(1)
+    for name, value in m.params.items():
+        for _ in range(3):
+            at = tuple(rng.integers(0, s) for s in value.shape)
+            base = value[at]
+            value[at] = base + 1e-5
+            up = m.gradients(*w)[0]
+            value[at] = base - 1e-5
+            down = m.gradients(*w)[0]
+            value[at] = base
+            assert (up - down) / 2e-5 == pytest.approx(grads[name][at], abs=1e-6), name
